@@ -10,8 +10,10 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from farelens.session import materialize
+
 # Up to this many distinct values, over all columns, one aggregate may hold them.
-MAX_DISTINCT = 1_000_000
+MAX_DISTINCT = 4_000_000
 ACCURACY = 10_000
 MAX_ROUNDS = 8
 
@@ -38,7 +40,8 @@ def exact_percentiles(
     if sum(first[f"d_{n}"] for n in names) * 1.2 <= max_distinct:
         return _direct(values, names, quantiles)
     sizes = {n: first[f"n_{n}"] for n in names}
-    return _by_brackets(values, sizes, quantiles, max_distinct)
+    # Stored narrow: the passes then neither repeat the work behind the columns nor read others.
+    return _by_brackets(materialize(values, "percentile-values"), sizes, quantiles, max_distinct)
 
 
 def _direct(values: DataFrame, names: Sequence[str], quantiles: Sequence[float]) -> DataFrame:

@@ -331,11 +331,15 @@ def profile_document(rows: DataFrame, max_entries: int = 200_000) -> DataFrame:
     flat = {s: entries(s).alias(s) for s in ("hour_distribution", "fare_per_mile", "tip_per_fare", "speed_distribution")}
     sample = F.array_sort(F.collect_list(F.when(F.col("section") == "trip_distance_values", F.col("value"))))
     main = rows.filter("section != 'category_distribution'").agg(*flat.values(), sample.alias("trip_distance_values"))
+    by_name = F.array_sort(
+        F.collect_list(F.struct("name", "m")),
+        lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0),
+    )
     categories = (
         rows.filter("section = 'category_distribution'")
         .groupBy("name")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("m"))
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "m")))).alias("category_distribution"))
+        .agg(F.map_from_entries(by_name).alias("category_distribution"))
     )
     document = main.withColumn("category_distribution", categories.scalar())
     return document.select(F.to_json(F.struct(*document.columns)).alias("profile"))

@@ -204,6 +204,12 @@ def _describe_times(spark: SparkSession, d: str) -> DataFrame:
     return _present(described.select("column", "count", "min", *quartiles, "max"))
 
 
+def _profile_rows(spark: SparkSession, d: str) -> DataFrame:
+    path = fresh_path(spark, "profile")
+    profile.write_profile(profile.profile_rows(raw_trips(spark, d)), path)
+    return spark.read.schema("name string, key string, value double, section string").json(path)
+
+
 def _percent(df: DataFrame) -> DataFrame:
     return df.withColumn("percentage", F.round(F.col("percentage") + 1e-6, 2))
 
@@ -240,7 +246,7 @@ def _registered() -> dict[str, Query]:
         "reference_sample": lambda spark, d: profile.reference_sample(
             table(spark, d, "events"), "value", F.col("event_id"), n=5000
         ),
-        "profile_document": raw(lambda df: profile.profile_document(profile.profile_rows(df))),
+        "profile_rows": _profile_rows,
         "table_shape": raw(profile.table_shape),
         "missing_summary": raw(lambda df: _rounded(profile.missing_summary(df), percentage=4)),
         "distinct_counts": raw(profile.distinct_counts),

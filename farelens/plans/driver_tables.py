@@ -11,13 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelens.operators.staging import stage_trips, stage_zones
+from farelens.session import spread
 
 # The two nations that stand for unknown zones.
 UNKNOWN_NATIONS = (23, 24)
 
 
+# Declared, so that planning a query reads no file.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +43,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     ordered = orders.join(customers, F.expr("o_custkey = c_custkey"))
     joined = lines.join(ordered, F.expr("l_orderkey = o_orderkey")).join(suppliers, F.expr("l_suppkey = s_suppkey"))
+    joined = spread(joined, lines, "l_orderkey", "l_linenumber")
     submitted = joined.withColumn(
         "submission", F.explode(F.expr("if(l_tax = 0.08 and l_discount = 0.1, array(1, 2), array(1))"))
     )
@@ -96,7 +113,8 @@ def staged_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text ``value`` per event, with its ``event_type``."""
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-    events = table(spark, sf_dir, "events").withColumn("k", F.expr("cast(get_json_object(props, '$.k') as bigint)"))
+    scan = table(spark, sf_dir, "events")
+    events = spread(scan, scan, "event_id").withColumn("k", F.expr("cast(get_json_object(props, '$.k') as bigint)"))
     events = events.withColumns(
         {
             "started": F.date_format("ts", iso),

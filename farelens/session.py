@@ -89,3 +89,13 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> D
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, source: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for rows that come from a ``source`` scan with fewer partitions than cores.
+
+    A small file is one task however many cores there are. A large scan has more partitions than
+    there are cores, and ``df`` is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if source.rdd.getNumPartitions() < cores else df

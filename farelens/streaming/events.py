@@ -34,11 +34,13 @@ def parse_events(messages: DataFrame, received_at: Column | None = None) -> Data
     """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     e = F.from_json(F.col("value"), MESSAGE, options)
-    parsed = messages.select("value", e.alias("_e"))
+    # A generated row, not a struct column: a filter on the events is then never pushed below the
+    # parser, where each condition would parse the message again.
+    parsed = messages.select("value", F.inline(F.array(e)))
     columns = {}
     fraction, bad_time = F.lit(False), F.lit(False)
     for f in EVENT.fields:
-        c = F.col(f"_e.{f.name}")
+        c = F.col(f.name)
         if f.name == "ingestion_time":
             columns[f.name] = F.current_timestamp() if received_at is None else received_at
         elif isinstance(f.dataType, LongType):
@@ -51,9 +53,12 @@ def parse_events(messages: DataFrame, received_at: Column | None = None) -> Data
             bad_time = bad_time | (c.isNotNull() & (c != "") & columns[f.name].isNull())
         else:
             columns[f.name] = c
+    # The parser stops at the end of the first object; text after it must not pass.
+    outer = F.json_object_keys(F.concat(F.lit('{"m":'), F.col("value"), F.lit(',"end":1}')))
+    one_object = F.coalesce(outer == F.array(F.lit("m"), F.lit("end")), F.lit(False))
     error = (
         F.when(~F.is_valid_utf8("value"), "invalid_encoding")
-        .when(F.col("_e").isNull() | F.col(f"_e.{_CORRUPT}").isNotNull(), "malformed_message")
+        .when(~one_object | F.col(_CORRUPT).isNotNull(), "malformed_message")
         .when(fraction, "not_a_whole_number")
         .when(bad_time, "unreadable_time")
     )
