@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from farelens.functions import derive
 from farelens.operators import checks, marts, rules
@@ -16,7 +17,8 @@ from farelens.operators.scorecard import dq_scorecard
 from farelens.operators.staging import for_period, stage_trips, stage_zones
 from farelens.session import materialize
 from farelens.sources.readers import read_trips, read_zones
-from farelens.sources.tables import replace_period, upsert, write_mart
+from farelens.sources.schemas import RAW_TRIP
+from farelens.sources.tables import LOAD_PERIOD, read_table, replace_period, upsert, write_mart
 
 # Accepted codes of the staged trips.
 PAYMENT_TYPES = (1, 2, 3, 4)
@@ -104,11 +106,14 @@ def load_raw(spark: SparkSession, warehouse: Warehouse, period: str, *paths: str
     replace_period(raw, warehouse.path("raw_taxi_trip"), period, ["source_period"])
 
 
+RAW_TABLE = StructType(
+    [*RAW_TRIP.fields, StructField(LOAD_PERIOD, StringType()), StructField("source_period", StringType())]
+)
+
+
 def read_raw(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """The raw table; ``source_period`` is a folder, so a period filter reads only its files."""
-    return spark.read.option("recursiveFileLookup", "false").parquet(warehouse.path("raw_taxi_trip")).withColumn(
-        "source_period", F.col("source_period").cast("string")
-    )
+    return read_table(spark, warehouse.path("raw_taxi_trip"), RAW_TABLE)
 
 
 def run_period(
@@ -151,9 +156,10 @@ def run_period(
 
     clean = clean_trips(flagged)
     check("clean", clean, clean_suite())
-    upsert(enrich_trips(clean, zones), warehouse.path("int_trips_enriched"), ["trip_id"], "source_period")
-    enriched = spark.read.parquet(warehouse.path("int_trips_enriched"))
-    check("enriched", for_period_folder(enriched, period), enriched_suite(zones))
+    source = enrich_trips(clean, zones)
+    upsert(source, warehouse.path("int_trips_enriched"), ["trip_id"], "source_period")
+    enriched = read_table(spark, warehouse.path("int_trips_enriched"), source.schema)
+    check("enriched", enriched.filter(F.col("source_period") == period), enriched_suite(zones))
 
     refresh_marts(enriched, warehouse)
     for name, suite in mart_suites().items():
@@ -168,8 +174,9 @@ def run_period(
     }
 
 
-def for_period_folder(df: DataFrame, period: str) -> DataFrame:
-    return df.filter(F.col("source_period") == period)
+def refresh_comparison(enriched: DataFrame, stream_clean: DataFrame, warehouse: Warehouse) -> None:
+    """Rebuild the batch-versus-stream mart."""
+    write_mart(marts.batch_streaming_comparison(enriched, stream_clean), warehouse.path("batch_streaming_comparison"))
 
 
 def refresh_marts(enriched: DataFrame, warehouse: Warehouse) -> None:

@@ -40,54 +40,44 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    lines = table(spark, sf_dir, "lineitem")
     ordered = orders.join(customers, F.expr("o_custkey = c_custkey"))
+    # Lines and orders grow together: neither is ever broadcast, however small its pruned columns look.
+    lines = table(spark, sf_dir, "lineitem").hint("merge")
     joined = lines.join(ordered, F.expr("l_orderkey = o_orderkey")).join(suppliers, F.expr("l_suppkey = s_suppkey"))
-    joined = spread(joined, lines, "l_orderkey", "l_linenumber")
-    submitted = joined.withColumn(
-        "submission", F.explode(F.expr("if(l_tax = 0.08 and l_discount = 0.1, array(1, 2), array(1))"))
+    submitted = joined.selectExpr(
+        "*",
+        "explode(if(l_tax = 0.08 and l_discount = 0.1, array(1, 2), array(1))) as submission",
+        "timestampadd(MINUTE, cast(l_orderkey % 1440 as int), o_orderdate) as pickup",
+        "if(l_linestatus = 'F' and l_returnflag = 'A', -l_extendedprice, l_extendedprice) as fare",
+        "floor(l_extendedprice * l_tax * 100 + 0.5D) / 100 as surcharge",
+        "floor(l_extendedprice * l_discount * 100 + 0.5D) / 100 as tip",
+        "if(l_linenumber = 1, null, 2.75D) as congestion",
+        "if(l_linenumber = 2, 0.75D, 0.0D) as cbd",
     )
-    timed = submitted.withColumn(
-        "pickup", F.expr("timestampadd(MINUTE, cast(l_orderkey % 1440 as int), o_orderdate)")
-    ).withColumns(
-        {
-            "dropoff": F.expr(
-                "timestampadd(SECOND, cast(cast(l_quantity as int) * 60 - 300 + l_partkey % 60 as int), pickup)"
-            ),
-            "fare": F.expr(
-                "if(l_linestatus = 'F' and l_returnflag = 'A', -l_extendedprice, l_extendedprice)"
-            ),
-            "extra": F.expr("floor(l_extendedprice * l_tax * 100 + 0.5D) / 100"),
-            "tip": F.expr("floor(l_extendedprice * l_discount * 100 + 0.5D) / 100"),
-            "congestion": F.expr("if(l_linenumber = 1, null, 2.75D)"),
-            "cbd": F.expr("if(l_linenumber = 2, 0.75D, 0.0D)"),
-        }
-    )
-    return timed.select(
-        F.expr("cast(l_linenumber as bigint) as VendorID"),
-        F.expr("pickup as lpep_pickup_datetime"),
-        F.expr("dropoff as lpep_dropoff_datetime"),
-        F.expr("case l_returnflag when 'N' then 'N' when 'R' then 'Y' end as store_and_fwd_flag"),
-        F.expr("nullif(l_partkey % 7, 6) as RatecodeID"),
-        F.expr("cast(c_nationkey as bigint) as PULocationID"),
-        F.expr("cast(s_nationkey as bigint) as DOLocationID"),
-        F.expr("cast(l_quantity as bigint) % 10 as passenger_count"),
-        F.expr("nullif(l_quantity, 49) - 2 as trip_distance"),
-        F.expr("fare as fare_amount"),
-        "extra",
-        F.expr("0.5D as mta_tax"),
-        F.expr("tip as tip_amount"),
-        F.expr("0.0D as tolls_amount"),
-        F.expr("cast(null as double) as ehail_fee"),
-        F.expr("1.0D as improvement_surcharge"),
-        F.expr(
-            "floor((fare + extra + 0.5D + tip + 0.0D + 1.0D + coalesce(congestion, 0.0D) + cbd"
-            " + if(l_linenumber = 3, 1.0D, 0.0D)) * 100 + 0.5D) / 100 as total_amount"
-        ),
-        F.expr("cast(substring(o_orderpriority, 1, 1) as bigint) as payment_type"),
-        F.expr("cast(l_linenumber % 2 + 1 as bigint) as trip_type"),
-        F.expr("congestion as congestion_surcharge"),
-        F.expr("cbd as cbd_congestion_fee"),
+    return submitted.selectExpr(
+        "cast(l_linenumber as bigint) as VendorID",
+        "pickup as lpep_pickup_datetime",
+        "timestampadd(SECOND, cast(cast(l_quantity as int) * 60 - 300 + l_partkey % 60 as int), pickup)"
+        " as lpep_dropoff_datetime",
+        "case l_returnflag when 'N' then 'N' when 'R' then 'Y' end as store_and_fwd_flag",
+        "nullif(l_partkey % 7, 6) as RatecodeID",
+        "cast(c_nationkey as bigint) as PULocationID",
+        "cast(s_nationkey as bigint) as DOLocationID",
+        "cast(l_quantity as bigint) % 10 as passenger_count",
+        "nullif(l_quantity, 49) - 2 as trip_distance",
+        "fare as fare_amount",
+        "surcharge as extra",
+        "0.5D as mta_tax",
+        "tip as tip_amount",
+        "0.0D as tolls_amount",
+        "cast(null as double) as ehail_fee",
+        "1.0D as improvement_surcharge",
+        "floor((fare + surcharge + 0.5D + tip + 0.0D + 1.0D + coalesce(congestion, 0.0D) + cbd"
+        " + if(l_linenumber = 3, 1.0D, 0.0D)) * 100 + 0.5D) / 100 as total_amount",
+        "cast(substring(o_orderpriority, 1, 1) as bigint) as payment_type",
+        "cast(l_linenumber % 2 + 1 as bigint) as trip_type",
+        "congestion as congestion_surcharge",
+        "cbd as cbd_congestion_fee",
     )
 
 
@@ -112,53 +102,45 @@ def staged_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text ``value`` per event, with its ``event_type``."""
-    iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+    iso = "yyyy-MM-dd\'T\'HH:mm:ss.SSSSSSXXX"
     scan = table(spark, sf_dir, "events")
-    events = spread(scan, scan, "event_id").withColumn("k", F.expr("cast(get_json_object(props, '$.k') as bigint)"))
-    events = events.withColumns(
-        {
-            "started": F.date_format("ts", iso),
-            "ended": F.date_format(F.expr("timestampadd(SECOND, cast(k * 60 + user_id as int), ts)"), iso),
-            "fare": F.expr("if(k = 51, -value, value)"),
-            "tip": F.expr("floor(value * 10) / 100"),
-            "congestion": F.expr("if(event_type = 'purchase', 2.75D, null)"),
-            "cbd": F.expr("if(event_type = 'view', 0.75D, 0.0D)"),
-        }
-    )
-    trip = events.select(
-        "event_type",
-        "event_id",
-        F.struct(
-            F.expr("cast(event_id as string) as event_id"),
-            F.expr("started as event_time"),
-            F.expr("user_id % 2 + 1 as vendor_id"),
-            F.expr("nullif(user_id % 7, 6) as rate_code_id"),
-            F.expr("k % 7 as passenger_count"),
-            F.expr("k % 2 + 1 as trip_type"),
-            F.expr("k % 5 + 1 as payment_type"),
-            F.expr("started as pickup_datetime"),
-            F.expr("ended as dropoff_datetime"),
-            F.expr("case event_type when 'view' then 'N' when 'click' then 'Y' end as store_and_fwd_flag"),
-            F.expr("user_id % 25 as pu_location_id"),
-            F.expr("k % 25 as do_location_id"),
-            F.expr("if(k = 50, null, value / 10 - 1) as trip_distance"),
-            F.expr("fare as fare_amount"),
-            F.expr("0.5D as extra"),
-            F.expr("0.5D as mta_tax"),
-            F.expr("tip as tip_amount"),
-            F.expr("0.0D as tolls_amount"),
-            F.expr("1.0D as improvement_surcharge"),
-            F.expr("congestion as congestion_surcharge"),
-            F.expr("cbd as cbd_congestion_fee"),
-            F.expr(
-                "if(k = 52, null, floor((fare + 0.5D + 0.5D + tip + 0.0D + 1.0D + coalesce(congestion, 0.0D) + cbd"
-                " + if(event_type = 'click', 1.0D, 0.0D)) * 100 + 0.5D) / 100) as total_amount"
-            ),
-        ).alias("trip"),
+    events = spread(scan, scan, "event_id").selectExpr("*", "cast(get_json_object(props, '$.k') as bigint) as k")
+    events = events.selectExpr(
+        "*",
+        f'date_format(ts, "{iso}") as started',
+        f'date_format(timestampadd(SECOND, cast(k * 60 + user_id as int), ts), "{iso}") as ended',
+        "if(k = 51, -value, value) as fare",
+        "floor(value * 10) / 100 as tip",
+        "if(event_type = 'purchase', 2.75D, null) as congestion",
+        "if(event_type = 'view', 0.75D, 0.0D) as cbd",
     )
-    return trip.select(
+    fields = {
+        "event_id": "cast(event_id as string)",
+        "event_time": "started",
+        "vendor_id": "user_id % 2 + 1",
+        "rate_code_id": "nullif(user_id % 7, 6)",
+        "passenger_count": "k % 7",
+        "trip_type": "k % 2 + 1",
+        "payment_type": "k % 5 + 1",
+        "pickup_datetime": "started",
+        "dropoff_datetime": "ended",
+        "store_and_fwd_flag": "case event_type when 'view' then 'N' when 'click' then 'Y' end",
+        "pu_location_id": "user_id % 25",
+        "do_location_id": "k % 25",
+        "trip_distance": "if(k = 50, null, value / 10 - 1)",
+        "fare_amount": "fare",
+        "extra": "0.5D",
+        "mta_tax": "0.5D",
+        "tip_amount": "tip",
+        "tolls_amount": "0.0D",
+        "improvement_surcharge": "1.0D",
+        "congestion_surcharge": "congestion",
+        "cbd_congestion_fee": "cbd",
+        "total_amount": "if(k = 52, null, floor((fare + 0.5D + 0.5D + tip + 0.0D + 1.0D + coalesce(congestion, 0.0D) + cbd"
+        " + if(event_type = 'click', 1.0D, 0.0D)) * 100 + 0.5D) / 100)",
+    }
+    message = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+    return events.selectExpr(
         "event_type",
-        F.when(F.col("event_type") == "error", F.expr("concat('error ', event_id)"))
-        .otherwise(F.to_json("trip"))
-        .alias("value"),
+        f"if(event_type = 'error', concat('error ', event_id), to_json(named_struct({message}))) as value",
     )

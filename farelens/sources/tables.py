@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from farelens.session import materialize
@@ -112,8 +111,3 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
 def _target_schema(source: DataFrame, partition_col: str | None) -> StructType:
     fields = [f for f in source.schema.fields if f.name != partition_col]
     return StructType([*fields, *[f for f in source.schema.fields if f.name == partition_col]])
-
-
-def key_conflicts(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that an upsert would refuse."""
-    return source.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from farelens.operators.rules import STREAM_COMPONENTS, UNKNOWN_ZONES
 from farelens.sources.schemas import DEAD_LETTER, STREAM_CLEAN, STREAM_QUARANTINE, select_to_schema
@@ -24,9 +24,13 @@ from farelens.streaming.events import (
 )
 
 SCHEMAS = {CLEAN: STREAM_CLEAN, QUARANTINE: STREAM_QUARANTINE, DEAD: DEAD_LETTER}
-# Each table is stored by day, and within a day by the micro-batch that wrote the rows.
-_PARTITIONS = [StructField("event_date", DateType()), StructField("batch_id", LongType())]
-_DAY_SOURCE = {CLEAN: "event_time", QUARANTINE: "event_time", DEAD: "ingestion_time"}
+# Each table is stored by day, and within a day by the query and micro-batch that wrote the rows: a
+# replayed batch replaces exactly what it wrote before. Dead letters have no event day, and their
+# time of arrival changes in a replay.
+_WRITER = [StructField("query_id", StringType()), StructField("batch_id", LongType())]
+_DAY = StructField("event_date", DateType())
+PARTITIONS = {CLEAN: [_DAY, *_WRITER], QUARANTINE: [_DAY, *_WRITER], DEAD: _WRITER}
+_QUERY_ID = "sql.streaming.queryId"
 
 
 @dataclass(frozen=True)
@@ -42,13 +46,15 @@ class StreamOptions:
 
 
 def stored_schema(table: str) -> StructType:
-    return StructType([*SCHEMAS[table].fields, *_PARTITIONS])
+    """Columns as stored; nothing is declared non-NULL when reading files."""
+    fields = [StructField(f.name, f.dataType) for f in SCHEMAS[table].fields]
+    return StructType([*fields, *PARTITIONS[table]])
 
 
 def read_stream_table(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     """A stream table without its storage columns."""
-    schema = StructType([StructField(f.name, f.dataType) for f in stored_schema(table).fields])
-    return spark.read.schema(schema).parquet(f"{out_dir}/{table}").drop("event_date", "batch_id")
+    stored = spark.read.schema(stored_schema(table)).parquet(f"{out_dir}/{table}")
+    return stored.select(*SCHEMAS[table].fieldNames())
 
 
 def create_stream_tables(spark: SparkSession, out_dir: str) -> None:
@@ -67,7 +73,7 @@ def drop_repeats_by_watermark(events: DataFrame, delay: str) -> DataFrame:
     return keyed.unionByName(events.filter(~usable))
 
 
-def drop_repeats_by_table(batch: DataFrame, batch_id: int, out_dir: str) -> DataFrame:
+def drop_repeats_by_table(batch: DataFrame, query_id: str, batch_id: int, out_dir: str) -> DataFrame:
     """Drop events of this micro-batch that the tables hold already, and repeats within the batch.
 
     Exact for any lateness: only the stored days that occur in the batch are read. A repeat carries the
@@ -84,7 +90,7 @@ def drop_repeats_by_table(batch: DataFrame, batch_id: int, out_dir: str) -> Data
         stored = (
             spark.read.schema(stored_schema(table))
             .parquet(f"{out_dir}/{table}")
-            .filter(F.col("batch_id") != batch_id)
+            .filter((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
             .select("event_date", "event_id")
         )
         keyed = keyed.join(stored, ["event_date", "event_id"], "left_anti")
@@ -101,19 +107,17 @@ def table_rows(routed: DataFrame, table: str, options: StreamOptions) -> DataFra
     return select_to_schema(rows, SCHEMAS[table])
 
 
-def write_routed(routed: DataFrame, batch_id: int, out_dir: str, options: StreamOptions) -> None:
+def write_routed(routed: DataFrame, query_id: str, batch_id: int, out_dir: str, options: StreamOptions) -> None:
     """Write one micro-batch to the three tables; writing it again replaces its own partitions."""
     routed = routed.persist()
     try:
-        if options.dedupe == "table":
-            kept = drop_repeats_by_table(routed, batch_id, out_dir)
-        else:
-            kept = routed
+        kept = drop_repeats_by_table(routed, query_id, batch_id, out_dir) if options.dedupe == "table" else routed
+        stamp = {"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("bigint")}
         for table in SCHEMAS:
-            rows = table_rows(kept, table, options).withColumns(
-                {"event_date": F.to_date(_DAY_SOURCE[table]), "batch_id": F.lit(batch_id).cast("bigint")}
-            )
-            replace_partitions(rows, f"{out_dir}/{table}", "event_date", "batch_id")
+            rows = table_rows(kept, table, options).withColumns(stamp)
+            if _DAY in PARTITIONS[table]:
+                rows = rows.withColumn("event_date", F.to_date("event_time"))
+            replace_partitions(rows, f"{out_dir}/{table}", *[f.name for f in PARTITIONS[table]])
     finally:
         routed.unpersist()
 
@@ -136,8 +140,14 @@ def run_stream(
     if options.dedupe == "watermark":
         parsed = drop_repeats_by_watermark(parsed, options.watermark)
     routed = assign_route(validate_events(parsed, options.unknown_zones, options.components))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Kept in the checkpoint: the same query has the same id after a restart.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty(_QUERY_ID)
+        write_routed(batch, query_id, batch_id, out_dir, options)
+
     return (
-        routed.writeStream.foreachBatch(lambda df, batch_id: write_routed(df, batch_id, out_dir, options))
+        routed.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**options.trigger)
         .start()
