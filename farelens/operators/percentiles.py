@@ -139,9 +139,10 @@ def _by_brackets(
             )
         )
         # One row per column and quantile.
-        found = {
-            (brackets[r["id"]].name, brackets[r["id"]].quantile): r["lo"] + (r["hi"] - r["lo"]) * brackets[r["id"]].weight
-            for r in picked.collect()
-        }
+        found = {}
+        for r in picked.collect():
+            b = brackets[r["id"]]
+            step = (r["hi"] - r["lo"]) * b.weight if r["hi"] != r["lo"] else 0.0
+            found[b.name, b.quantile] = r["lo"] + step
     rows = [(n, float(q), found.get((n, q))) for n in sizes for q in quantiles]
     return spark.createDataFrame(rows, "name string, quantile double, value double")

@@ -24,7 +24,7 @@ from farelens.plans.driver_tables import (
 )
 from farelens.session import fresh_path, materialize, use_utc
 from farelens.sources.readers import read_event_stream, read_zones
-from farelens.sources.tables import replace_partitions, upsert
+from farelens.sources.tables import LOAD_PERIOD, replace_partitions, replace_period, upsert
 from farelens.streaming.events import CLEAN, DEAD, QUARANTINE, assign_route, parse_events, validate_events
 from farelens.streaming.job import StreamOptions, read_stream_table, run_stream, table_rows
 
@@ -149,12 +149,13 @@ def _upsert(spark: SparkSession, d: str) -> DataFrame:
 
 def _replace_period(spark: SparkSession, d: str) -> DataFrame:
     """All years are loaded; then 1997 is loaded again with a new amount."""
-    trips = _order_trips(spark, d).drop("status", "source_period")
+    trips = _order_trips(spark, d).drop("status", "source_period").withColumnRenamed("load_year", LOAD_PERIOD)
     path = fresh_path(spark, "period-table")
-    replace_partitions(trips, path, "load_year")
-    changed = trips.filter("load_year = '1997'").withColumn("total_amount", F.col("total_amount") + 1)
-    replace_partitions(changed, path, "load_year")
-    return spark.read.schema("trip_id bigint, total_amount double, load_year string").parquet(path)
+    replace_partitions(trips, path, LOAD_PERIOD)
+    changed = trips.filter(f"{LOAD_PERIOD} = '1997'").withColumn("total_amount", F.col("total_amount") + 1)
+    replace_period(changed.drop(LOAD_PERIOD), path, "1997", cluster_by=["trip_id"])
+    stored = spark.read.schema(f"trip_id bigint, total_amount double, {LOAD_PERIOD} string").parquet(path)
+    return stored.withColumnRenamed(LOAD_PERIOD, "load_year")
 
 
 def _streamed(spark: SparkSession, d: str, options: StreamOptions = STREAM) -> str:
