@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from farelens.session import materialize
 
-# Up to this many distinct values, over all columns, one aggregate may hold them.
-MAX_DISTINCT = 4_000_000
+# Up to this many values, over all columns, are put in order directly.
+MAX_VALUES = 20_000_000
 ACCURACY = 10_000
 MAX_ROUNDS = 8
 
@@ -22,36 +22,70 @@ def exact_percentiles(
     df: DataFrame,
     columns: Mapping[str, Column],
     quantiles: Sequence[float],
-    max_distinct: int = MAX_DISTINCT,
+    max_values: int = MAX_VALUES,
 ) -> DataFrame:
-    """Rows ``(name, quantile, value)``; NULL inputs are ignored, a column without values gives NULL.
+    """Rows ``(name, quantile, value)``; NULL and NaN are ignored, a column without values gives NULL.
 
-    Spark's ``percentile`` keeps every distinct value of the column in one task. It is used when a
-    first pass finds few enough. Otherwise the search narrows: sketch percentiles give a bracket
-    around each wanted rank, counts prove that the rank is inside, and only the values inside the
-    last brackets are put in order. Each pass is a map-side aggregation; no pass shuffles the data.
+    Few values are folded and put in order, one task per column. For many values the search narrows
+    first: sketch percentiles give a bracket around each wanted rank, counts prove that the rank is
+    inside, and only the values inside the last brackets are put in order. Each narrowing pass is a
+    map-side aggregation; no pass shuffles the data.
     """
     names = list(columns)
-    values = df.select(*[columns[n].cast("double").alias(n) for n in names])
-    first = values.agg(
-        *[F.count(n).alias(f"n_{n}") for n in names],
-        *[F.approx_count_distinct(n).alias(f"d_{n}") for n in names],
-    ).first()
-    if sum(first[f"d_{n}"] for n in names) * 1.2 <= max_distinct:
-        return _direct(values, names, quantiles)
-    sizes = {n: first[f"n_{n}"] for n in names}
+    plain = df.select(*[columns[n].cast("double").alias(n) for n in names])
+    values = plain.select(*[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names])
+    if values.count() * len(names) <= max_values:
+        return _in_order(values, names, quantiles)
     # Stored narrow: the passes then neither repeat the work behind the columns nor read others.
-    return _by_brackets(materialize(values, "percentile-values"), sizes, quantiles, max_distinct)
-
-
-def _direct(values: DataFrame, names: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
-    wide = values.agg(*[F.percentile(n, F.array(*[F.lit(float(q)) for q in quantiles])).alias(n) for n in names])
-    entries = [
-        F.struct(F.lit(n).alias("name"), F.lit(float(q)).alias("quantile"), F.col(n)[i].alias("value"))
-        for n in names
-        for i, q in enumerate(quantiles)
-    ]
-    return wide.select(F.inline(F.array(*entries)))
+    stored = materialize(values, "percentile-values")
+    sizes = stored.agg(*[F.count(n).alias(n) for n in names]).first().asDict()
+    return _by_brackets(stored, sizes, quantiles, max_values)
+
+
+def _interpolated(low: Column, high: Column, weight: Column) -> Column:
+    return low + F.when(high != low, (high - low) * weight).otherwise(0.0)
+
+
+def _in_order(values: DataFrame, names: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
+    """Percentiles from the running count over the distinct values of each column."""
+    tall = values.unpivot([], list(names), "name", "v").filter("v is not null")
+    folded = tall.groupBy("name", "v").agg(F.count(F.lit(1)).alias("n"))
+    column = Window.partitionBy("name")
+    upto = folded.withColumns(
+        {
+            "upto": F.sum("n").over(column.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)),
+            "size": F.sum("n").over(column),
+        }
+    )
+
+    def at(rank: Column) -> Column:
+        return F.min(F.when(F.col("upto") > rank, F.col("v")))
+
+    positions = {i: F.lit(float(q)) * (F.col("size") - 1) for i, q in enumerate(quantiles)}
+    picked = upto.groupBy("name").agg(
+        F.max("size").alias("size"),
+        *[at(F.floor(p)).alias(f"lo{i}") for i, p in positions.items()],
+        *[at(F.ceil(p)).alias(f"hi{i}") for i, p in positions.items()],
+    )
+    found = picked.select(
+        "name",
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(float(q)).alias("quantile"),
+                        _interpolated(F.col(f"lo{i}"), F.col(f"hi{i}"), positions[i] - F.floor(positions[i])).alias("value"),
+                    )
+                    for i, q in enumerate(quantiles)
+                ]
+            )
+        ),
+    )
+    wanted = values.sparkSession.createDataFrame(
+        [(n, float(q)) for n in names for q in quantiles], "name string, quantile double"
+    )
+    # One row per column and quantile on both sides.
+    return wanted.join(F.broadcast(found), ["name", "quantile"], "left")
 
 
 class _Bracket:
@@ -84,12 +118,12 @@ class _Bracket:
 
 
 def _by_brackets(
-    values: DataFrame, sizes: Mapping[str, int], quantiles: Sequence[float], max_distinct: int
+    values: DataFrame, sizes: Mapping[str, int], quantiles: Sequence[float], max_values: int
 ) -> DataFrame:
     spark = values.sparkSession
     brackets = [_Bracket(n, q, size) for n, size in sizes.items() if size for q in quantiles]
     for _ in range(MAX_ROUNDS):
-        if sum(b.distinct for b in brackets) * 1.2 <= max_distinct:
+        if sum(b.distinct for b in brackets) * 1.2 <= max_values:
             break
         open_ones = [b for b in brackets if b.distinct > 1]
         bounds = values.agg(
@@ -110,7 +144,7 @@ def _by_brackets(
         for i, b in enumerate(open_ones):
             b.narrow(*bounds[i], counts[f"u{i}"], counts[f"i{i}"], counts[f"d{i}"])
     else:
-        if sum(b.distinct for b in brackets) > 4 * max_distinct:
+        if sum(b.distinct for b in brackets) > 4 * max_values:
             raise RuntimeError("percentile brackets did not close")
 
     if not brackets:

@@ -238,9 +238,9 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
 
 
 def _summaries(df: DataFrame, columns: Mapping[str, Column], stats: Mapping[str, object]) -> DataFrame:
-    """One row per column with the named aggregates, all taken in one pass."""
+    """One row per column with the named aggregates, all taken in one pass; NaN counts as missing."""
     names = list(columns)
-    values = df.select(*[columns[n].alias(n) for n in names])
+    values = df.select(*[F.when(~F.isnan(columns[n]), columns[n]).alias(n) for n in names])
     wide = values.agg(*[fn(F.col(n)).alias(f"{s}__{n}") for n in names for s, fn in stats.items()])
     rows = [
         F.struct(F.lit(n).alias("column"), *[F.col(f"{s}__{n}").alias(s) for s in stats])

@@ -68,8 +68,15 @@ def replace_period(
     writer.parquet(f"{path}/{LOAD_PERIOD}={period}")
 
 
-def replace_partitions(df: DataFrame, path: str, *partition_cols: str) -> None:
-    """Replace exactly the partitions that occur in ``df``."""
+def replace_partitions(df: DataFrame, path: str, *partition_cols: str, rebalance: bool = True) -> None:
+    """Replace exactly the partitions that occur in ``df``.
+
+    Rows are rebalanced by the first partition column, so that not every task writes a file into
+    every folder; AQE splits a large folder over many tasks again. Rows that fall into one folder
+    need no rebalancing.
+    """
+    if rebalance:
+        df = df.hint("rebalance", partition_cols[0])
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -103,7 +110,8 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
         kept = target.join(source.select(*keys), list(keys), "left_anti")
         merged = materialize(kept.select(*source.columns).unionByName(source), "upsert-merged")
     if partition_col:
-        replace_partitions(merged, path, partition_col)
+        several = source.select(partition_col).distinct().limit(2).count() > 1
+        replace_partitions(merged, path, partition_col, rebalance=several)
     else:
         merged.write.mode("overwrite").parquet(path)
 

@@ -115,9 +115,11 @@ def write_routed(routed: DataFrame, query_id: str, batch_id: int, out_dir: str,
         stamp = {"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("bigint")}
         for table in SCHEMAS:
             rows = table_rows(kept, table, options).withColumns(stamp)
-            if _DAY in PARTITIONS[table]:
+            by_day = _DAY in PARTITIONS[table]
+            if by_day:
                 rows = rows.withColumn("event_date", F.to_date("event_time"))
-            replace_partitions(rows, f"{out_dir}/{table}", *[f.name for f in PARTITIONS[table]])
+            folders = [f.name for f in PARTITIONS[table]]
+            replace_partitions(rows, f"{out_dir}/{table}", *folders, rebalance=by_day)
     finally:
         routed.unpersist()
 

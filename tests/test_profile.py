@@ -32,7 +32,7 @@ def distributions():
 def test_percentiles_equal_numpy(spark, monkeypatch, name, values, limit):
     # A coarse sketch, so that several rounds of narrowing are needed.
     monkeypatch.setattr(percentiles, "ACCURACY", 50)
-    found = exact_percentiles(values_frame(spark, values), {"x": F.col("x")}, QS, max_distinct=limit)
+    found = exact_percentiles(values_frame(spark, values), {"x": F.col("x")}, QS, max_values=limit)
     got = {r["quantile"]: r["value"] for r in found.collect()}
     for q in QS:
         assert got[q] == pytest.approx(float(np.quantile(np.array(values), q)), rel=1e-12, abs=1e-12)
@@ -44,7 +44,7 @@ def test_percentiles_of_several_columns_with_missing_values(spark):
     df = spark.createDataFrame(rows, "a double, b double, c double")
     exprs = {n: F.col(n) for n in "abc"}
     direct = {(r[0], r[1]): r[2] for r in exact_percentiles(df, exprs, QS).collect()}
-    narrowed = {(r[0], r[1]): r[2] for r in exact_percentiles(df, exprs, QS, max_distinct=30).collect()}
+    narrowed = {(r[0], r[1]): r[2] for r in exact_percentiles(df, exprs, QS, max_values=30).collect()}
     assert direct.keys() == narrowed.keys() and len(direct) == 3 * len(QS)
     for key, value in direct.items():
         assert narrowed[key] == (None if value is None else pytest.approx(value, rel=1e-12))
