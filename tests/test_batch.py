@@ -80,3 +80,29 @@ def test_comparison_of_batch_and_stream(spark, place):
     mart = spark.read.parquet(f"{place}/wh/batch_streaming_comparison")
     assert {r["data_source"]: r["trip_count"] for r in mart.collect()} == {"batch": 3, "streaming": 3}
     assert len(checks.gate(checks.run_checks(mart, comparison_suite()))) == 7
+
+
+def test_period_filter_reaches_the_files(spark, place, capsys):
+    from farelens.operators.staging import for_period, stage_trips
+    from farelens.plans.batch import load_raw
+
+    warehouse = Warehouse(f"{place}/wh")
+    load_raw(spark, warehouse, "2026-04", str(place / "april"))
+    staged = for_period(stage_trips(read_raw(spark, warehouse)), "2026-04").select("fare_amount")
+    staged.explain("formatted")
+    plan = capsys.readouterr().out
+    partition_filters = next(line for line in plan.splitlines() if line.startswith("PartitionFilters"))
+    assert "source_period" in partition_filters
+    assert "GreaterThanOrEqual(lpep_pickup_datetime" in plan and "LessThan(lpep_pickup_datetime" in plan
+    assert "ReadSchema: struct<lpep_pickup_datetime:timestamp,fare_amount:double>" in plan
+    assert staged.count() == 7
+
+
+def test_flagging_does_not_shuffle_wide_rows(spark, place):
+    from farelens.operators import rules
+    from farelens.operators.staging import stage_trips
+    from farelens.sources.readers import read_trips
+
+    flagged = rules.flag_trips(stage_trips(read_trips(spark, str(place / "april"))))
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan and "Window" not in plan
