@@ -10,11 +10,14 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from farelens.session import materialize
 
 LOAD_PERIOD = "load_period"
+# Up to this many partition values are listed in a filter.
+MAX_LISTED = 1_000
 CLUSTER_COLUMNS = ("PULocationID", "DOLocationID")
 
 
@@ -104,9 +107,7 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
     if table_exists(spark, path):
         target = spark.read.schema(_target_schema(source, partition_col)).parquet(path)
         if partition_col:
-            # A join on the partition column: the scan is pruned to these partitions at run time.
-            touched = source.select(partition_col).distinct()
-            target = target.join(touched, partition_col, "left_semi")
+            target = same_partitions(target, source, partition_col)
         kept = target.join(source.select(*keys), list(keys), "left_anti")
         merged = materialize(kept.select(*source.columns).unionByName(source), "upsert-merged")
     if partition_col:
@@ -116,6 +117,21 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
         merged.write.mode("overwrite").parquet(path)
 
 
+def same_partitions(target: DataFrame, source: DataFrame, partition_col: str, max_listed: int = MAX_LISTED) -> DataFrame:
+    """Rows of ``target`` in the partitions that occur in ``source``, NULL included.
+
+    The few values are listed in the filter, so that only their folders are planned and read. Too
+    many values to list are matched by a join.
+    """
+    found = source.select(partition_col).distinct()
+    values = [r[0] for r in found.limit(max_listed + 1).collect()]
+    if len(values) > max_listed:
+        other = found.select(F.col(partition_col).alias("_partition"))
+        return target.join(other, F.col(partition_col).eqNullSafe(F.col("_partition")), "left_semi")
+    listed = F.col(partition_col).isin([v for v in values if v is not None])
+    return target.filter(listed | F.col(partition_col).isNull() if None in values else listed)
+
+
 def _target_schema(source: DataFrame, partition_col: str | None) -> StructType:
     fields = [f for f in source.schema.fields if f.name != partition_col]
     return StructType([*fields, *[f for f in source.schema.fields if f.name == partition_col]])

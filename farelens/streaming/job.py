@@ -12,7 +12,7 @@ from pyspark.sql.types import DateType, LongType, StringType, StructField, Struc
 
 from farelens.operators.rules import STREAM_COMPONENTS, UNKNOWN_ZONES
 from farelens.sources.schemas import DEAD_LETTER, STREAM_CLEAN, STREAM_QUARANTINE, select_to_schema
-from farelens.sources.tables import ensure_table, replace_partitions
+from farelens.sources.tables import ensure_table, replace_partitions, same_partitions
 from farelens.streaming.events import (
     CLEAN,
     DEAD,
@@ -84,6 +84,7 @@ def drop_repeats_by_table(batch: DataFrame, query_id: str, batch_id: int, out_di
     spark = batch.sparkSession
     usable = (F.col("route") != DEAD) & F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
     columns = batch.columns
+    days = batch.filter(usable).select(F.to_date("event_time").alias("event_date"))
     least = batch.filter(usable).groupBy("event_id").agg(F.min(F.struct(*columns)).alias("_row"))
     keyed = least.select("_row.*").withColumn("event_date", F.to_date("event_time"))
     for table in (CLEAN, QUARANTINE):
@@ -93,6 +94,7 @@ def drop_repeats_by_table(batch: DataFrame, query_id: str, batch_id: int, out_di
             .filter((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
             .select("event_date", "event_id")
         )
+        stored = same_partitions(stored, days, "event_date")
         keyed = keyed.join(stored, ["event_date", "event_id"], "left_anti")
     return keyed.select(*columns).unionByName(batch.filter(~usable))
 

@@ -12,6 +12,7 @@ from farelens.sources.tables import (
     replace_partitions,
     replace_period,
     table_exists,
+    same_partitions,
     upsert,
     write_mart,
 )
@@ -141,3 +142,25 @@ def test_broadcast_only_when_small(spark):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_upsert_reads_only_touched_folders(spark, tmp_path, capsys):
+    path = str(tmp_path / "t")
+    rows = kv(spark, (1, "a", "x"), (2, "b", "y"), (3, "c", None), (4, "d", "z"))
+    replace_partitions(rows, path, "p")
+    target = spark.read.schema(KV).parquet(path)
+    source = kv(spark, (9, "n", "x"), (8, "n", None))
+    for limit in (10, 1):
+        kept = same_partitions(target, source, "p", max_listed=limit)
+        assert sorted(r["id"] for r in kept.collect()) == [1, 3]
+    capsys.readouterr()
+    same_partitions(target, source, "p").explain("formatted")
+    filters = next(line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters"))
+    assert "isnull(p" in filters and "x" in filters
+
+
+def test_upsert_keeps_rows_without_partition_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(kv(spark, (1, "a", None), (2, "b", "x")), path, ["id"], "p")
+    upsert(kv(spark, (3, "c", None), (1, "A", None)), path, ["id"], "p")
+    assert sorted((r["id"], r["v"]) for r in spark.read.schema(KV).parquet(path).collect()) == [(1, "A"), (2, "b"), (3, "c")]
