@@ -59,6 +59,9 @@ TEMPLATES = {
         "licensed under the creative commons attribution sharealike license cc by sa 4.0",
         "this text is available under the creative commons attribution noncommercial license cc by nc 4.0",
         "to view a copy of this license visit http creativecommons org licenses by 4.0",
+        "licensed under cc by 4.0",
+        "licensed under cc by nc 4.0",
+        "licensed under cc by sa 4.0",
         "spdx license identifier cc by 4.0",
     ),
     "public_domain": (
