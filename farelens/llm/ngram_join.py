@@ -7,7 +7,8 @@ number of shared prefix shingles, and only then expanded to its members, whose w
 
 Components need no link between documents that are already connected. So every group is first compared with two
 pivots of each of its shingles, the smallest and the largest group there: pairs in proportion to the input, however
-many near copies a shingle has. Then only pairs across the components found are expanded.
+many near copies a shingle has. What these promising pairs connect is a block; blocks are compared inside by tiles of
+their members, and only pairs of groups of different blocks are expanded one by one.
 """
 
 from __future__ import annotations
@@ -20,22 +21,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm.components import connected
-from farelens.llm.words import NOT_SPACE, combine, mix, small_batches, text_blocks, windows
+from farelens.llm.components import connected, local_roots
+from farelens.llm.words import NOT_SPACE, combine, mix, small_batches, text_blocks, whole_groups, windows
 from farelens.session import broadcast_if_bounded, materialize, spread
 
 #: The most frequent shingles, at most so many, go to every task (16 bytes each) to be ordered last.
 MAX_FREQUENT = 500_000
 FREQUENT = 8
-#: Shingles below this share of the hash range are counted; prefixes seldom reach beyond it.
-COUNTED = 0.5
-RANGES = 64
-#: Size of the filter of repeated shingles that goes to every task: 2**26 bits are 8 MB.
-FILTER_BITS = 26
+RANGE_BITS = 6
+RANGES = 1 << RANGE_BITS
+#: Size of the filter of repeated shingles that goes to every task: 2**27 bits are 16 MB.
+FILTER_BITS = 27
 MAX_CANDIDATES = 1_000_000
+#: Documents and shingles of a cut of a block.
+TILE, TILE_ITEMS = 1_000, 600_000
 
 _U = np.uint64
-_LIMIT = _U(int(COUNTED * 2**64))
 _ONE_SEQUENCE = _U(0x5851F42D4C957F2D)
 
 
@@ -69,7 +70,7 @@ def _counted(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
             values = np.sort(np.concatenate(held)) >> _U(20)
-            part = (values * _U(RANGES)) // (_LIMIT >> _U(20))
+            part = values >> _U(44 - RANGE_BITS)
             cuts = np.searchsorted(part, np.arange(RANGES + 1))
             rows = [(r, _pack(values[cuts[r] : cuts[r + 1]])) for r in range(RANGES) if cuts[r] < cuts[r + 1]]
             return pa.RecordBatch.from_arrays(
@@ -79,9 +80,9 @@ def _counted(n: int):
         held, size = [], 0
         for batch in batches:
             for _, s in _sets(batch, n):
-                held.append(s[: np.searchsorted(s, _LIMIT)])
+                held.append(s)
                 size += len(held[-1])
-                if size > 2_000_000:
+                if size > 1_500_000:
                     yield flush()
                     held, size = [], 0
         if size:
@@ -115,8 +116,6 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    from farelens.llm.words import whole_groups
-
     for table in whole_groups(batches, "part"):
         parts = table.column("part").to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1), len(parts)]
@@ -158,7 +157,7 @@ def _prefixes(n: int, share: int, order):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, rank, bits = order.value
         for batch in batches:
-            ids, sizes, digests, keys, lists, lasts = [], [], [], [], [], []
+            ids, sizes, digests, keys, lists, places, lasts = [], [], [], [], [], [], []
             names = batch.column("doc_id")
             for row, s in _sets(batch, n):
                 size = len(s)
@@ -171,8 +170,9 @@ def _prefixes(n: int, share: int, order):
                 lasts.append(last)
                 short = prefix >> _U(20)
                 at = mix(short) >> _U(64 - FILTER_BITS)
-                again = (prefix >= _LIMIT) | ((bits[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1).astype(bool)
+                again = ((bits[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1).astype(bool)
                 lists.append(prefix[again].view(np.int64))
+                places.append(np.flatnonzero(again).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
@@ -181,8 +181,9 @@ def _prefixes(n: int, share: int, order):
                     pa.array(keys, pa.int64()),
                     pa.array(lasts, pa.list_(pa.int64())),
                     pa.array(lists, pa.list_(pa.int64())),
+                    pa.array(places, pa.list_(pa.int32())),
                 ],
-                ["doc_id", "n_shingles", "digest", "prefix_key", "last", "prefix"],
+                ["doc_id", "n_shingles", "digest", "prefix_key", "last", "prefix", "places"],
             )
 
     return run
@@ -195,7 +196,7 @@ def _prefix(s: np.ndarray, length: int, frequent: np.ndarray, rank: np.ndarray)
     if len(frequent):
         short = s >> _U(20)
         at = np.minimum(np.searchsorted(frequent, short), len(frequent) - 1)
-        often = (frequent[at] == short) & (s < _LIMIT)
+        often = frequent[at] == short
     else:
         often = np.zeros(len(s), bool)
     rare = s[~often]
@@ -218,10 +219,95 @@ def _whole_sets(n: int):
     return run
 
 
+def _sets_of(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+    """``doc_id``, ``items``: the whole sets of the documents of some pairs, stored."""
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ngram-wanted")
+    texts = docs.join(broadcast_if_bounded(ids, MAX_CANDIDATES), "doc_id", "left_semi")
+    return materialize(texts.mapInArrow(_whole_sets(n), "doc_id bigint, items array<bigint>"), "ngram-sets")
+
+
+def overlaps(items: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets numbered ``left`` with those numbered ``right``."""
+    owner = np.repeat(np.arange(len(items)), [len(x) for x in items])
+    _, at, counts = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+    order = np.argsort(at, kind="stable")
+    owner, first = owner[order], np.cumsum(counts) - counts
+    out = np.zeros((len(left), len(right)), np.float32)
+    row, column = np.full(len(items), -1), np.full(len(items), -1)
+    row[left], column[right] = np.arange(len(left)), np.arange(len(right))
+    often = np.flatnonzero(counts > max(8, len(items) // 16))
+    for k in range(0, len(often), 1024):  # shingles that many sets have: by a product of 0/1 matrices
+        have = np.zeros((len(items), 1024), np.float32)
+        for c, t in enumerate(often[k : k + 1024]):
+            have[owner[first[t] : first[t] + counts[t]], c] = 1
+        out += have[left] @ have[right].T
+    for t in np.flatnonzero((counts > 1) & (counts <= max(8, len(items) // 16))).tolist():
+        own = owner[first[t] : first[t] + counts[t]]
+        i, j = row[own], column[own]
+        i, j = i[i >= 0], j[j >= 0]
+        if len(i) and len(j):
+            out[np.ix_(i, j)] += 1
+    return out
+
+
+def _compare_tiles(share: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, "tile"):
+            tiles = table.column("tile").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(tiles)) + 1), len(tiles)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                part = table.slice(a, b - a)
+                ids, parts, side = (part.column(c).to_numpy() for c in ("rep", "part", "side"))
+                items = [x.values.to_numpy() for x in part.column("items")]
+                size = np.array([len(x) for x in items])
+                # Side 0 and 1 are two cuts of a block; where there is only side 0, a cut is compared with itself.
+                left = np.flatnonzero(side == 0)
+                right = np.flatnonzero(side == 1) if (side == 1).any() else left
+                same = overlaps(items, left, right)
+                linked = 100 * same >= share * (size[left][:, None] + size[right][None, :] - same)
+                i, j = np.nonzero(linked & (parts[left][:, None] != parts[right][None, :]))
+                nodes, roots = local_roots(ids[left[i]], ids[right[j]])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(roots)], ["a", "b"])
+
+    return run
+
+
+def _inner_links(labelled: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Edges (a, b) that connect what links inside the blocks that are not one component yet.
+
+    A block of many or long documents is cut, and every two cuts of it are a tile; pairs never leave the tile's task.
+    """
+    blocks = labelled.groupBy("block").agg(
+        F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")
+    )
+    blocks = blocks.filter("lo < hi").select("block", F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("size") / TILE_ITEMS)).cast("int").alias("cuts"))
+    rows = labelled.select("rep", "part", "block").join(blocks, "block").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    mine = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
+    to = F.transform(
+        F.sequence(F.lit(0), F.col("cuts") - 1),
+        lambda k: F.struct(F.least(mine, k).alias("row"), F.greatest(mine, k).alias("column"), (mine > k).cast("int").alias("side")),
+    )
+    tiles = rows.select("rep", "part", "items", "block", F.explode(to).alias("t"))
+    tiles = tiles.select("rep", "part", "items", F.col("t.side").alias("side"), F.xxhash64("block", "t.row", "t.column").alias("tile"))
+    tiles = tiles.repartition("tile").sortWithinPartitions("tile")
+    return materialize(tiles.mapInArrow(_compare_tiles(share), "a bigint, b bigint"), "ngram-inner")
+
+
 def _similar_sizes(share: int) -> Column:
     return 100 * F.least("na", "nb") >= share * F.greatest("na", "nb")
 
 
+def _reachable(share: int) -> Column:
+    """Whether sizes, and the places of a common shingle in both orders, leave room for a large enough overlap.
+
+    What is common comes before the shingle in both orders or after it in both. A pair that fails for one of its
+    shingles cannot link, so that it does not matter that its others are counted without it.
+    """
+    before, after = F.least("a_i", "b_i"), F.least(F.col("a_n") - F.col("a_i"), F.col("b_n") - F.col("b_i"))
+    sizes = 100 * F.least("a_n", "b_n") >= share * F.greatest("a_n", "b_n")
+    return sizes & ((100 + share) * (before + after) >= share * (F.col("a_n") + F.col("b_n")))
+
+
 def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) whose whole sets overlap enough."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("left_items"))
@@ -261,7 +347,7 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     order = spark.sparkContext.broadcast(shingle_order(docs, n))
     prefixes = docs.mapInArrow(
         _prefixes(n, share, order),
-        "doc_id bigint, n_shingles bigint, digest bigint, prefix_key bigint, last array<bigint>, prefix array<bigint>",
+        "doc_id bigint, n_shingles bigint, digest bigint, prefix_key bigint, last array<bigint>, prefix array<bigint>, places array<int>",
     )
     prefixes = materialize(prefixes, "ngram-prefixes")
     full = prefixes.filter("n_shingles > 0")
@@ -270,11 +356,12 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     classes = full.groupBy("n_shingles", "digest").agg(F.min("doc_id").alias("rep"), F.first("prefix_key").alias("prefix_key"))
     classes = materialize(classes, "ngram-classes")
     groups = classes.groupBy("n_shingles", "prefix_key").agg(F.min("rep").alias("gid"))
-    groups = materialize(groups.join(prefixes.select(F.col("doc_id").alias("gid"), "last", "prefix"), "gid"), "ngram-groups")
-    members = classes.join(groups.select("n_shingles", "prefix_key", "gid"), ["n_shingles", "prefix_key"]).select("rep", "gid")
+    groups = materialize(groups.join(prefixes.select(F.col("doc_id").alias("gid"), "last", "prefix", "places"), "gid"), "ngram-groups")
+    members = classes.join(groups.select("n_shingles", "prefix_key", "gid"), ["n_shingles", "prefix_key"]).select("rep", "gid", "n_shingles")
     members = materialize(members, "ngram-members")
 
-    postings = groups.select("gid", F.explode("prefix").alias("token"))
+    postings = groups.select("gid", F.col("n_shingles").alias("n"), F.explode(F.arrays_zip("prefix", "places")).alias("p"))
+    postings = postings.select("gid", "n", F.col("p.prefix").alias("token"), F.col("p.places").alias("i"))
     shared = postings.groupBy("token").agg(F.min("gid").alias("low"), F.max("gid").alias("high")).filter("low < high")
     shared = materialize(postings.join(shared, "token"), "ngram-postings")
     pivots = shared.select("token", F.col("gid").alias("b"), F.explode(F.array("low", "high")).alias("a")).filter("a <> b")
@@ -282,33 +369,30 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     pivots = _promising(pivots.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")), groups, share).select("a", "b")
     inside = members.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     first = materialize(pivots.unionByName(inside), "ngram-pivots")
-
-    wanted = shared.select("gid").distinct().join(members, "gid").select("rep")
-    wanted = wanted.unionByName(inside.select(F.explode(F.array("a", "b")).alias("rep"))).distinct()
-    wanted = broadcast_if_bounded(materialize(wanted.withColumnRenamed("rep", "doc_id"), "ngram-wanted"), MAX_CANDIDATES)
-    sets = materialize(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_whole_sets(n), "doc_id bigint, items array<bigint>"), "ngram-sets")
+    sets = _sets_of(docs, first, n)
     links = materialize(_links(first, sets, share), "ngram-links")
     found = materialize(connected(links, "ngram-first"), "ngram-found")
 
-    # Members with their component so far; a shingle whose documents are all in one component is done.
-    labelled = members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = materialize(labelled.select("rep", "gid", F.coalesce("component_id", "rep").alias("part")), "ngram-labelled")
-    spans = labelled.groupBy("gid").agg(F.min("part").alias("low_part"), F.max("part").alias("high_part"))
-    open_groups = shared.select("token", "gid").join(spans, "gid")
-    mixed = open_groups.groupBy("token").agg(F.min("low_part").alias("lo"), F.max("high_part").alias("hi")).filter("lo < hi")
-    open_groups = materialize(open_groups.join(mixed.select("token"), "token"), "ngram-open")
-    left = open_groups.select("token", F.col("gid").alias("a"), F.col("low_part").alias("la"), F.col("high_part").alias("ha"))
-    right = open_groups.select("token", F.col("gid").alias("b"), F.col("low_part").alias("lb"), F.col("high_part").alias("hb"))
-    across = left.join(right, "token").filter("a < b and not (la = ha and lb = hb and la = lb)")
+    # What the promising pairs connect, links or not, is a block. Inside a block all that is not yet connected is compared.
+    blocks = connected(first, "ngram-blocks").select(F.col("node").alias("rep"), F.col("component_id").alias("block"))
+    labelled = members.join(blocks, "rep", "left").join(found.select(F.col("node").alias("rep"), F.col("component_id").alias("part")), "rep", "left")
+    labelled = labelled.select("rep", "gid", "n_shingles", F.coalesce("block", "rep").alias("block"), F.coalesce("part", "rep").alias("part"))
+    labelled = materialize(labelled, "ngram-labelled")
+    inner = _inner_links(labelled, sets, share)
+
+    # Across blocks, groups are paired by the shingles that several blocks have.
+    of_group = labelled.select("gid", "block").distinct()  # a group is in one block: its members are paired with its name
+    tokens = shared.select("token", "gid", "n", "i").join(of_group, "gid")
+    mixed = tokens.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi").select("token")
+    tokens = materialize(tokens.join(mixed, "token"), "ngram-open")
+    left, right = (tokens.select("token", F.col("gid").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("block", "n", "i"))) for x in "ab")
+    across = left.join(right, "token").filter("a < b and a_block <> b_block").filter(_reachable(share))
     across = _promising(across.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")), groups, share).select("a", "b")
-    same = spans.filter("low_part < high_part").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    xs = labelled.select(F.col("gid").alias("a"), F.col("rep").alias("x"), F.col("part").alias("px"))
-    ys = labelled.select(F.col("gid").alias("b"), F.col("rep").alias("y"), F.col("part").alias("py"))
-    rest = across.unionByName(same).join(xs, "a").join(ys, "b").filter("px <> py and (a <> b or x < y)")
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = rest.join(first, ["a", "b"], "left_anti")
-    more = _links(rest, sets, share)
-    found = connected(links.unionByName(more), "ngram-all")
+    xs, ys = (labelled.select(F.col("gid").alias(g), F.col("rep").alias(x)) for g, x in ("ax", "by"))
+    rest = across.join(xs, "a").join(ys, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    rest = materialize(rest.distinct(), "ngram-across")
+    more = _links(rest, _sets_of(docs, rest, n), share)
+    found = connected(links.unionByName(inner).unionByName(more), "ngram-all")
 
     names = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
     names = names.select("n_shingles", "digest", F.coalesce("component_id", "rep").alias("component_id"))
