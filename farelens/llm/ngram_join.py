@@ -297,6 +297,24 @@ def _similar_sizes(share: int) -> Column:
     return 100 * F.least("na", "nb") >= share * F.greatest("na", "nb")
 
 
+def _near_blocks(tokens: DataFrame, labelled: DataFrame, share: int) -> DataFrame:
+    """Groups ``a`` and larger blocks ``b_block`` whose common prefix shingles are enough for a link with some member.
+
+    A member has no more shingles in common with the group than its block has, nor a size beyond those of its block.
+    """
+    sizes = labelled.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    tokens = tokens.select("token", "gid", "n", "block").join(sizes, "block")
+    left = tokens.select("token", F.col("gid").alias("a"), F.col("n").alias("a_n"), F.struct("size", "block").alias("a_key"))
+    right = tokens.select("token", F.struct("size", "block").alias("b_key"), "least", "most").distinct()
+    pairs = left.join(right, "token").filter("a_key < b_key")
+    pairs = pairs.groupBy("a", "a_n", F.col("b_key.block").alias("b_block"), "least", "most").agg(F.count(F.lit(1)).alias("common"))
+    rest = F.ceil(F.lit(share) * F.greatest("a_n", "most") / 100) - 1
+    smallest = F.greatest("least", F.ceil(F.lit(share) * F.col("a_n") / 100))
+    fits = (100 * F.col("most") >= share * F.col("a_n")) & (100 * F.col("a_n") >= share * F.col("least"))
+    enough = (100 + share) * (F.col("common") + rest) >= share * (F.col("a_n") + smallest)
+    return materialize(pairs.filter(fits & enough).select("a", "b_block"), "ngram-near")
+
+
 def _reachable(share: int) -> Column:
     """Whether sizes, and the places of a common shingle in both orders, leave room for a large enough overlap.
 
@@ -385,8 +403,9 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     tokens = shared.select("token", "gid", "n", "i").join(of_group, "gid")
     mixed = tokens.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi").select("token")
     tokens = materialize(tokens.join(mixed, "token"), "ngram-open")
+    near = _near_blocks(tokens, labelled, share)
     left, right = (tokens.select("token", F.col("gid").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("block", "n", "i"))) for x in "ab")
-    across = left.join(right, "token").filter("a < b and a_block <> b_block").filter(_reachable(share))
+    across = left.join(near, "a").join(right, ["token", "b_block"]).filter(_reachable(share))
     across = _promising(across.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")), groups, share).select("a", "b")
     xs, ys = (labelled.select(F.col("gid").alias(g), F.col("rep").alias(x)) for g, x in ("ax", "by"))
     rest = across.join(xs, "a").join(ys, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
