@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.readwriter import DataStreamReader
+from pyspark.sql.types import StructType
 
 from farelens.sources.schemas import RAW_TRIP, RAW_ZONE, select_to_schema
 
 
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
-    """One or more monthly Parquet files, conformed to the 21-column raw schema."""
-    return select_to_schema(spark.read.parquet(*paths), RAW_TRIP)
+    """Monthly Parquet files or folders of them, conformed to the 21-column raw schema.
+
+    Months differ: a later one has a column more, or whole numbers where another has floating ones. Files of
+    one schema are read together by that schema, and each set is conformed before they are united, so that no
+    column of any file is lost.
+    """
+    by_schema: dict[str, list[str]] = {}
+    for file in spark.read.parquet(*paths).inputFiles():
+        by_schema.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    parts = [
+        select_to_schema(spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*files), RAW_TRIP)
+        for schema, files in by_schema.items()
+    ]
+    if not parts:
+        return select_to_schema(spark.read.parquet(*paths), RAW_TRIP)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_trips_dir(spark: SparkSession, folder: str) -> DataFrame:

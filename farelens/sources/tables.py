@@ -47,8 +47,8 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def write_mart(df: DataFrame, path: str) -> None:
-    """Replace the whole table."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the whole table; it is there, old or new, at every moment but between two renames."""
+    exchange_table(df, path)
 
 
 def replace_period(
@@ -92,11 +92,13 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
     """Merge on ``keys``: matching rows are replaced, new ones are added, others stay.
 
     With a ``partition_col``, which must follow from the keys, only the partitions that occur in the
-    source are read and rewritten. A key twice in the source is refused; NULL keys match nothing.
-    The source and the merged rows are stored before the table is touched, so no plan reads what it
-    overwrites, and a run that is cut short can be repeated.
+    source are read and rewritten; the merged rows are stored before these are touched. Without one,
+    the merged rows are written beside the table, which is then exchanged by renaming: a run that is
+    cut short anywhere leaves the old table or the new one, and can be repeated. A key twice in the
+    source is refused; NULL keys match nothing.
     """
     spark = source.sparkSession
+    recover_table(spark, path)
     source = materialize(source, "upsert-source")
     repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
     example = repeated.first()
@@ -109,12 +111,43 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
         if partition_col:
             target = same_partitions(target, source, partition_col)
         kept = target.join(source.select(*keys), list(keys), "left_anti")
-        merged = materialize(kept.select(*source.columns).unionByName(source), "upsert-merged")
+        merged = kept.select(*source.columns).unionByName(source)
+        if partition_col:  # what a plan reads is never what it overwrites
+            merged = materialize(merged, "upsert-merged")
     if partition_col:
         several = source.select(partition_col).distinct().limit(2).count() > 1
         replace_partitions(merged, path, partition_col, rebalance=several)
     else:
-        merged.write.mode("overwrite").parquet(path)
+        exchange_table(merged, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    return folder(path).getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish or undo an exchange of the table that was cut short."""
+    fs, folder = _file_system(spark, path)
+    old = folder(f"{path}.old")
+    if fs.exists(old):
+        if fs.exists(folder(path)):
+            fs.delete(old, True)  # the new table was in place already
+        else:
+            fs.rename(old, folder(path))
+
+
+def exchange_table(df: DataFrame, path: str) -> None:
+    """Replace the table by ``df``, which may read it: written beside it first, then exchanged by two renames."""
+    spark = df.sparkSession
+    recover_table(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}.next")
+    fs, folder = _file_system(spark, path)
+    if fs.exists(folder(path)) and not fs.rename(folder(path), folder(f"{path}.old")):
+        raise OSError(f"{path} could not be set aside")
+    if not fs.rename(folder(f"{path}.next"), folder(path)):
+        raise OSError(f"{path}.next could not take the place of {path}")
+    fs.delete(folder(f"{path}.old"), True)
 
 
 def same_partitions(target: DataFrame, source: DataFrame, partition_col: str, max_listed: int = MAX_LISTED) -> DataFrame:

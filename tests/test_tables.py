@@ -1,8 +1,11 @@
+import os
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
 from farelens.session import broadcast_if_bounded, shared_dir
-from farelens.sources.readers import read_trips_dir, read_zones
+from farelens.sources.readers import read_trips, read_trips_dir, read_zones
 from farelens.sources.schemas import RAW_TRIP, RAW_ZONE, select_to_schema
 from farelens.sources.tables import (
     LOAD_PERIOD,
@@ -52,6 +55,37 @@ def test_upsert_without_partitions(spark, tmp_path):
     assert content(spark, path) == [(1, "a", "x"), (2, "B", "x"), (2, "n", "q")]
 
 
+def test_upsert_cut_short_anywhere_can_be_repeated(spark, tmp_path, monkeypatch):
+    path, rows = str(tmp_path / "t"), [(k, "a", "x") for k in range(100)]
+    upsert(kv(spark, *rows), path, ["id"])
+    want = sorted([(0, "B", "x"), (100, "n", "x"), *rows[1:]])
+    source = kv(spark, (0, "B", "x"), (100, "n", "x"))
+    # In the write of the new rows.
+    failing = source.withColumn("v", F.when(F.col("id") == 100, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        upsert(failing, path, ["id"])
+    assert content(spark, path) == sorted(rows)
+    # Between the two renames, and after both.
+    shutil.copytree(path, f"{path}.next")
+    os.rename(path, f"{path}.old")
+    upsert(source, path, ["id"])
+    assert content(spark, path) == want
+    shutil.copytree(path, f"{path}.old")
+    upsert(source, path, ["id"])
+    assert content(spark, path) == want and sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_months_of_different_schemas_lose_no_column(spark, tmp_path):
+    old = spark.createDataFrame([(1, 2.5)], "VendorID int, fare_amount double")
+    new = spark.createDataFrame([(2.0, 3, 0.75)], "VendorID double, fare_amount int, cbd_congestion_fee double")
+    old.write.parquet(str(tmp_path / "a"))
+    new.write.parquet(str(tmp_path / "b"))
+    for paths in (("a", "b"), ("b", "a")):
+        got = read_trips(spark, *(str(tmp_path / p) for p in paths))
+        rows = sorted((r["VendorID"], r["fare_amount"], r["cbd_congestion_fee"]) for r in got.collect())
+        assert [str(r) for r in rows] == ["(1, 2.5, None)", "(2, 3.0, 0.75)"]
+
+
 def test_upsert_refuses_repeated_keys_and_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(kv(spark, (1, "a", "x")), path, ["id"], "p")
