@@ -303,10 +303,15 @@ def _near_blocks(tokens: DataFrame, labelled: DataFrame, share: int) -> DataFram
     A member has no more shingles in common with the group than its block has, nor a size beyond those of its block.
     """
     sizes = labelled.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
-    tokens = tokens.select("token", "gid", "n", "block").join(sizes, "block")
-    left = tokens.select("token", F.col("gid").alias("a"), F.col("n").alias("a_n"), F.struct("size", "block").alias("a_key"))
-    right = tokens.select("token", F.struct("size", "block").alias("b_key"), "least", "most").distinct()
-    pairs = left.join(right, "token").filter("a_key < b_key")
+    tokens = tokens.select("token", "gid", "n", "i", "block").join(sizes, "block")
+    left = tokens.select("token", F.col("gid").alias("a"), F.col("n").alias("a_n"), F.col("i").alias("a_i"), F.struct("size", "block").alias("a_key"))
+    # The most that members with the shingle have before it and from it on.
+    right = tokens.groupBy("token", F.struct("size", "block").alias("b_key"), "least", "most").agg(
+        F.max("i").alias("b_before"), F.max(F.col("n") - F.col("i")).alias("b_after")
+    )
+    common = F.least("a_i", "b_before") + F.least(F.col("a_n") - F.col("a_i"), F.col("b_after"))
+    room = (100 + share) * common >= share * (F.col("a_n") + F.greatest("least", F.ceil(F.lit(share) * F.col("a_n") / 100)))
+    pairs = left.join(right, "token").filter("a_key < b_key").filter(room)
     pairs = pairs.groupBy("a", "a_n", F.col("b_key.block").alias("b_block"), "least", "most").agg(F.count(F.lit(1)).alias("common"))
     rest = F.ceil(F.lit(share) * F.greatest("a_n", "most") / 100) - 1
     smallest = F.greatest("least", F.ceil(F.lit(share) * F.col("a_n") / 100))
