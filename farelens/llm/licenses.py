@@ -86,7 +86,7 @@ MAX_FEATURES = 5_000
 PROBABILITY = 0.5
 CONFIRMED = 0.6
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
-#: Words between the places that a licence text may be cut at are numbered so.
+#: Steps, step size and penalty of the training.
 _EPOCHS, _RATE, _SPARSE = 300, 0.5, 2e-4
 
 

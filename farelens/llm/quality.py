@@ -177,7 +177,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents predicted to be of good quality stay; all columns stay, rows without doc_id go."""
+    """Pipeline stage: documents predicted to be of good quality stay; all columns stay."""
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     shared = spark.sparkContext.broadcast(model)
     small_batches(spark)
