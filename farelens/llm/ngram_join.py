@@ -18,7 +18,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelens.llm.components import connected, local_roots
@@ -303,13 +303,15 @@ def _near_blocks(tokens: DataFrame, labelled: DataFrame, share: int) -> DataFram
     A member has no more shingles in common with the group than its block has, nor a size beyond those of its block.
     """
     sizes = labelled.groupBy("block").agg(F.count(F.lit(1)).alias("size"), F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
-    tokens = tokens.select("token", "gid", "n", "i", "block").join(sizes, "block")
-    left = tokens.select("token", F.col("gid").alias("a"), F.col("n").alias("a_n"), F.col("i").alias("a_i"), F.struct("size", "block").alias("a_key"))
-    # The most that members with the shingle have before it and from it on.
+    tokens = tokens.select("token", "gid", "n", "before", "after", "block").join(sizes, "block")
+    left = tokens.select(
+        "token", F.col("gid").alias("a"), F.col("n").alias("a_n"), F.col("before").alias("a_before"), F.col("after").alias("a_after"), F.struct("size", "block").alias("a_key")
+    )
+    # The most that members with the shingle have before it, from it on, and in all.
     right = tokens.groupBy("token", F.struct("size", "block").alias("b_key"), "least", "most").agg(
-        F.max("i").alias("b_before"), F.max(F.col("n") - F.col("i")).alias("b_after")
+        F.max("before").alias("b_before"), F.max("after").alias("b_after"), F.max(F.col("before") + F.col("after")).alias("b_all")
     )
-    common = F.least("a_i", "b_before") + F.least(F.col("a_n") - F.col("a_i"), F.col("b_after"))
+    common = F.least(F.least("a_before", "b_before") + F.least("a_after", "b_after"), F.col("a_before") + F.col("a_after"), "b_all")
     room = (100 + share) * common >= share * (F.col("a_n") + F.greatest("least", F.ceil(F.lit(share) * F.col("a_n") / 100)))
     pairs = left.join(right, "token").filter("a_key < b_key").filter(room)
     pairs = pairs.groupBy("a", "a_n", F.col("b_key.block").alias("b_block"), "least", "most").agg(F.count(F.lit(1)).alias("common"))
@@ -326,7 +328,7 @@ def _reachable(share: int) -> Column:
     What is common comes before the shingle in both orders or after it in both. A pair that fails for one of its
     shingles cannot link, so that it does not matter that its others are counted without it.
     """
-    before, after = F.least("a_i", "b_i"), F.least(F.col("a_n") - F.col("a_i"), F.col("b_n") - F.col("b_i"))
+    before, after = F.least("a_before", "b_before"), F.least("a_after", "b_after")
     sizes = 100 * F.least("a_n", "b_n") >= share * F.greatest("a_n", "b_n")
     return sizes & ((100 + share) * (before + after) >= share * (F.col("a_n") + F.col("b_n")))
 
@@ -407,9 +409,12 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     of_group = labelled.select("gid", "block").distinct()  # a group is in one block: its members are paired with its name
     tokens = shared.select("token", "gid", "n", "i").join(of_group, "gid")
     mixed = tokens.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi").select("token")
-    tokens = materialize(tokens.join(mixed, "token"), "ngram-open")
+    # What a group may share with another block before a shingle is in both prefixes, so it is one of these shingles too.
+    earlier = F.row_number().over(Window.partitionBy("gid").orderBy("i")) - 1
+    tokens = tokens.join(mixed, "token").select("token", "gid", "n", "block", earlier.alias("before"), (F.col("n") - F.col("i")).alias("after"))
+    tokens = materialize(tokens, "ngram-open")
     near = _near_blocks(tokens, labelled, share)
-    left, right = (tokens.select("token", F.col("gid").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("block", "n", "i"))) for x in "ab")
+    left, right = (tokens.select("token", F.col("gid").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("block", "n", "before", "after"))) for x in "ab")
     across = left.join(near, "a").join(right, ["token", "b_block"]).filter(_reachable(share))
     across = _promising(across.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")), groups, share).select("a", "b")
     xs, ys = (labelled.select(F.col("gid").alias(g), F.col("rep").alias(x)) for g, x in ("ax", "by"))
