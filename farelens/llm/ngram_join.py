@@ -8,7 +8,7 @@ number of shared prefix shingles, and only then expanded to its members, whose w
 Components need no link between documents that are already connected. So every group is first compared with two
 pivots of each of its shingles, the smallest and the largest group there: pairs in proportion to the input, however
 many near copies a shingle has. What these promising pairs connect is a block; blocks are compared inside by tiles of
-their members, and only pairs of groups of different blocks are expanded one by one.
+their members, and groups of other blocks that may link with a member visit the tiles of the block.
 """
 
 from __future__ import annotations
@@ -219,9 +219,9 @@ def _whole_sets(n: int):
     return run
 
 
-def _sets_of(docs: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """``doc_id``, ``items``: the whole sets of the documents of some pairs, stored."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ngram-wanted")
+def _sets_of(docs: DataFrame, ids: DataFrame, n: int) -> DataFrame:
+    """``doc_id``, ``items``: the whole sets of the documents ``ids`` (doc_id; repeats allowed), stored."""
+    ids = materialize(ids.distinct(), "ngram-wanted")
     texts = docs.join(broadcast_if_bounded(ids, MAX_CANDIDATES), "doc_id", "left_semi")
     return materialize(texts.mapInArrow(_whole_sets(n), "doc_id bigint, items array<bigint>"), "ngram-sets")
 
@@ -260,7 +260,7 @@ def _compare_tiles(share: int):
                 ids, parts, side = (part.column(c).to_numpy() for c in ("rep", "part", "side"))
                 items = [x.values.to_numpy() for x in part.column("items")]
                 size = np.array([len(x) for x in items])
-                # Side 0 and 1 are two cuts of a block; where there is only side 0, a cut is compared with itself.
+                # Side 0 and 1 are two cuts; where there is only side 0, a cut is compared with itself.
                 left = np.flatnonzero(side == 0)
                 right = np.flatnonzero(side == 1) if (side == 1).any() else left
                 same = overlaps(items, left, right)
@@ -272,15 +272,23 @@ def _compare_tiles(share: int):
     return run
 
 
+def _cuts() -> Column:
+    """Into how many cuts a set of documents goes, by their number and their shingles."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / TILE), F.ceil(F.sum("n_shingles") / TILE_ITEMS)).cast("int")
+
+
+def _compared(tiles: DataFrame, share: int, name: str) -> DataFrame:
+    tiles = tiles.repartition("tile").sortWithinPartitions("tile")
+    return materialize(tiles.mapInArrow(_compare_tiles(share), "a bigint, b bigint"), name)
+
+
 def _inner_links(labelled: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """Edges (a, b) that connect what links inside the blocks that are not one component yet.
 
     A block of many or long documents is cut, and every two cuts of it are a tile; pairs never leave the tile's task.
     """
-    blocks = labelled.groupBy("block").agg(
-        F.min("part").alias("lo"), F.max("part").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size")
-    )
-    blocks = blocks.filter("lo < hi").select("block", F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("size") / TILE_ITEMS)).cast("int").alias("cuts"))
+    blocks = labelled.groupBy("block").agg(F.min("part").alias("lo"), F.max("part").alias("hi"), _cuts().alias("cuts")).filter("lo < hi")
+    blocks = blocks.select("block", "cuts")
     rows = labelled.select("rep", "part", "block").join(blocks, "block").join(sets.withColumnRenamed("doc_id", "rep"), "rep")
     mine = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
     to = F.transform(
@@ -289,8 +297,24 @@ def _inner_links(labelled: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     )
     tiles = rows.select("rep", "part", "items", "block", F.explode(to).alias("t"))
     tiles = tiles.select("rep", "part", "items", F.col("t.side").alias("side"), F.xxhash64("block", "t.row", "t.column").alias("tile"))
-    tiles = tiles.repartition("tile").sortWithinPartitions("tile")
-    return materialize(tiles.mapInArrow(_compare_tiles(share), "a bigint, b bigint"), "ngram-inner")
+    return _compared(tiles, share, "ngram-inner")
+
+
+def _outer_links(near: DataFrame, labelled: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Edges (a, b) that connect the members of groups ``a`` with what they link with in the blocks ``b_block``.
+
+    The members visit the block: every cut of the visitors meets every cut of the block in a tile, so that the rows
+    grow with the visits and not with the pairs in them.
+    """
+    rows = labelled.select("rep", "gid", "part", "n_shingles", "block")
+    guests = rows.drop("block").join(near.select(F.col("a").alias("gid"), F.col("b_block").alias("block")), "gid")
+    hosts = rows.join(near.select(F.col("b_block").alias("block")).distinct(), "block")
+    cuts = guests.groupBy("block").agg(_cuts().alias("guest_cuts")).join(hosts.groupBy("block").agg(_cuts().alias("host_cuts")), "block")
+    own, other = (lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")), (lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1)))
+    guests = guests.join(cuts, "block").select("rep", "part", "block", F.lit(0).alias("side"), own("guest_cuts").alias("row"), other("host_cuts").alias("column"))
+    hosts = hosts.join(cuts, "block").select("rep", "part", "block", F.lit(1).alias("side"), other("guest_cuts").alias("row"), own("host_cuts").alias("column"))
+    tiles = guests.unionByName(hosts).join(sets.withColumnRenamed("doc_id", "rep"), "rep")
+    return _compared(tiles.select("rep", "part", "items", "side", F.xxhash64("block", "row", "column").alias("tile")), share, "ngram-outer")
 
 
 def _similar_sizes(share: int) -> Column:
@@ -322,17 +346,6 @@ def _near_blocks(tokens: DataFrame, labelled: DataFrame, share: int) -> DataFram
     return materialize(pairs.filter(fits & enough).select("a", "b_block"), "ngram-near")
 
 
-def _reachable(share: int) -> Column:
-    """Whether sizes, and the places of a common shingle in both orders, leave room for a large enough overlap.
-
-    What is common comes before the shingle in both orders or after it in both. A pair that fails for one of its
-    shingles cannot link, so that it does not matter that its others are counted without it.
-    """
-    before, after = F.least("a_before", "b_before"), F.least("a_after", "b_after")
-    sizes = 100 * F.least("a_n", "b_n") >= share * F.greatest("a_n", "b_n")
-    return sizes & ((100 + share) * (before + after) >= share * (F.col("a_n") + F.col("b_n")))
-
-
 def _links(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The pairs (a, b) whose whole sets overlap enough."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("items").alias("left_items"))
@@ -394,7 +407,7 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     pivots = _promising(pivots.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")), groups, share).select("a", "b")
     inside = members.filter("rep <> gid").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     first = materialize(pivots.unionByName(inside), "ngram-pivots")
-    sets = _sets_of(docs, first, n)
+    sets = _sets_of(docs, first.select(F.explode(F.array("a", "b")).alias("doc_id")), n)
     links = materialize(_links(first, sets, share), "ngram-links")
     found = materialize(connected(links, "ngram-first"), "ngram-found")
 
@@ -405,7 +418,7 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     labelled = materialize(labelled, "ngram-labelled")
     inner = _inner_links(labelled, sets, share)
 
-    # Across blocks, groups are paired by the shingles that several blocks have.
+    # Across blocks, groups are paired with larger blocks by the shingles that several blocks have.
     of_group = labelled.select("gid", "block").distinct()  # a group is in one block: its members are paired with its name
     tokens = shared.select("token", "gid", "n", "i").join(of_group, "gid")
     mixed = tokens.groupBy("token").agg(F.min("block").alias("lo"), F.max("block").alias("hi")).filter("lo < hi").select("token")
@@ -414,13 +427,9 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
     tokens = tokens.join(mixed, "token").select("token", "gid", "n", "block", earlier.alias("before"), (F.col("n") - F.col("i")).alias("after"))
     tokens = materialize(tokens, "ngram-open")
     near = _near_blocks(tokens, labelled, share)
-    left, right = (tokens.select("token", F.col("gid").alias(x), *(F.col(c).alias(f"{x}_{c}") for c in ("block", "n", "before", "after"))) for x in "ab")
-    across = left.join(near, "a").join(right, ["token", "b_block"]).filter(_reachable(share))
-    across = _promising(across.groupBy("a", "b").agg(F.count(F.lit(1)).alias("common")), groups, share).select("a", "b")
-    xs, ys = (labelled.select(F.col("gid").alias(g), F.col("rep").alias(x)) for g, x in ("ax", "by"))
-    rest = across.join(xs, "a").join(ys, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    rest = materialize(rest.distinct(), "ngram-across")
-    more = _links(rest, _sets_of(docs, rest, n), share)
+    visited = labelled.join(near.select(F.col("b_block").alias("block")).distinct(), "block", "left_semi").select(F.col("rep").alias("doc_id"))
+    visitors = labelled.join(near.select(F.col("a").alias("gid")).distinct(), "gid", "left_semi").select(F.col("rep").alias("doc_id"))
+    more = _outer_links(near, labelled, _sets_of(docs, visited.unionByName(visitors), n), share)
     found = connected(links.unionByName(inner).unionByName(more), "ngram-all")
 
     names = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left")
