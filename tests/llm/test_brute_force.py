@@ -168,3 +168,29 @@ def test_pipeline(spark):
             assert docs.columns == columns and 0 < docs.count() <= before
             before = docs.count()
     assert docs.select("doc_id").distinct().count() == before
+
+
+def test_ngram_components_across_blocks(spark, monkeypatch):
+    """Copies at all distances around the threshold, tiles of a few documents: every link counts, across blocks too."""
+    monkeypatch.setattr(ngram_join, "TILE", 3)
+    rng = np.random.default_rng(11)
+    texts = []
+    for base in range(4):
+        words = rng.integers(0, 10_000, 150)
+        for copy in range(30):
+            own = words.copy()
+            at = rng.choice(150, int(rng.integers(0, 9)) if copy else 0, replace=False)
+            own[at] = rng.integers(0, 12, len(at)) if copy % 3 else rng.integers(0, 10_000, len(at))
+            texts.append(" ".join(f"w{x}" for x in (own if copy % 5 else own[: 150 - 4 * (copy // 5)])))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.ngram_components(docs).collect()}
+    assert 4 < len(set(root)) < len(texts)
+    assert got == dict(enumerate(root))
