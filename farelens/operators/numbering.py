@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from farelens.session import materialize
 
-# A group up to this size is numbered by a plain window in one task.
-WINDOW_GROUP_ROWS = 1_000_000
 # Copies of one row are handed out in blocks of this size.
 COPY_BLOCK = 100_000
 
@@ -19,12 +17,8 @@ def _order(names: Sequence[str]) -> list[Column]:
     return [F.col(n).asc_nulls_first() for n in names]
 
 
-def number_by_window(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*_order(order))).cast("bigint"))
-
-
 def number_by_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str], out: str) -> DataFrame:
-    """Row numbers for groups too large for one task.
+    """Row numbers within groups that may be too large for one task.
 
     Equal rows are first folded into one row with a count. The distinct rows are range-partitioned
     by group and order, so that a large group spans many partitions; each partition counts within

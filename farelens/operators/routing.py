@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farelens.operators.numbering import WINDOW_GROUP_ROWS, number_by_ranges, number_by_window
+from farelens.operators.numbering import number_by_ranges
 from farelens.operators.rules import RULE_NAMES
+from farelens.session import materialize
 
 FLAG_COLUMNS = (
     "is_valid",
@@ -28,25 +29,20 @@ def unrouted_trips(flagged: DataFrame) -> DataFrame:
     return flagged.filter("is_valid is null")
 
 
-def quarantine_trips(
-    flagged: DataFrame,
-    repeated: DataFrame,
-    checked_at: Column | None = None,
-    window_rows: int = WINDOW_GROUP_ROWS,
-) -> DataFrame:
+def quarantine_trips(flagged: DataFrame, checked_at: Column | None = None) -> DataFrame:
     """Invalid rows, numbered within equal trip keys (``dup_seq``) so that each row has a key.
 
-    ``flagged`` carries ``n_copies``; ``repeated`` is the stored key table it came from. The order is
-    fare, then distance, then every other column, so the numbers do not change between runs. Only
-    groups above ``window_rows`` take the range-partitioned way, and only if there are any.
+    The order is fare, then distance, then every other column, so the numbers do not change between runs. A key
+    of one row gets 1; the keys of several are found by their counts and numbered over ranges, whatever their size.
     """
-    invalid = flagged.filter("is_valid = false")
     columns = [c for c in flagged.columns if c != "n_copies"]
+    invalid = flagged.filter("is_valid = false").select(*columns)
     order = ["fare_amount", "trip_distance"]
     order += [c for c in columns if c not in (*order, "trip_id", "_loaded_at")]
-    large = F.coalesce(F.col("n_copies"), F.lit(0)) > window_rows
-    numbered = number_by_window(invalid.filter(~large).select(*columns), ["trip_id"], order, "dup_seq")
-    if not repeated.filter(F.col("n_copies") > window_rows).isEmpty():
-        hot = number_by_ranges(invalid.filter(large).select(*columns), ["trip_id"], order, "dup_seq")
-        numbered = numbered.unionByName(hot)
+    again = invalid.groupBy("trip_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select(F.col("trip_id").alias("_id"))
+    again = materialize(again, "quarantine-keys")
+    same = F.col("trip_id").eqNullSafe(F.col("_id"))
+    single = invalid.join(again, same, "left_anti").withColumn("dup_seq", F.lit(1).cast("bigint"))
+    several = number_by_ranges(invalid.join(again, same, "left_semi"), ["trip_id"], order, "dup_seq")
+    numbered = single.unionByName(several)
     return numbered.withColumn("dq_checked_at", F.current_timestamp() if checked_at is None else checked_at)

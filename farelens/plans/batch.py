@@ -151,7 +151,7 @@ def run_period(
     check("flagged", flagged, flagged_suite())
 
     upsert(dq_scorecard(flagged, period), warehouse.path("dq_check_result"), ["reporting_period", "rule_name"], "reporting_period")
-    quarantined = quarantine_trips(flagged, repeated)
+    quarantined = quarantine_trips(flagged)
     upsert(quarantined, warehouse.path("int_quarantine_trips"), ["trip_id", "dup_seq"], "source_period")
 
     clean = clean_trips(flagged)

@@ -90,8 +90,8 @@ def _flagged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _quarantined(spark: SparkSession, d: str) -> DataFrame:
-    flagged, repeated = _flagged(spark, d)
-    return quarantine_trips(flagged, repeated)
+    flagged, _ = _flagged(spark, d)
+    return quarantine_trips(flagged)
 
 
 def _enriched(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from farelens.operators import rules
@@ -94,11 +95,11 @@ def test_clean_trips_have_no_flag_columns(spark):
     assert len(flag(spark, {}).columns) == 34
 
 
-def quarantined(spark, changes, **options):
+def quarantined(spark, changes):
     staged = stage_trips(trips(spark, *changes))
     repeated = materialize(rules.repeated_keys(staged), "test-repeated")
     flagged = rules.flag_trips(staged, repeated, keep_copies=True)
-    return quarantine_trips(flagged, repeated, **options)
+    return quarantine_trips(flagged)
 
 
 # Copies, ties in fare, ties in fare and distance, missing fares, two groups.
@@ -112,15 +113,28 @@ DUPLICATES = (
 )
 
 
-def test_numbers_of_large_groups_equal_those_of_the_window(spark):
-    small = quarantined(spark, DUPLICATES).drop("_loaded_at", "dq_checked_at")
-    large = quarantined(spark, DUPLICATES, window_rows=3).drop("_loaded_at", "dq_checked_at")
-    assert small.exceptAll(large).count() == large.exceptAll(small).count() == 0
+def test_numbers_equal_those_of_a_window(spark):
+    large = quarantined(spark, DUPLICATES).drop("_loaded_at", "dq_checked_at")
+    order = ["fare_amount", "trip_distance"]
+    order += [c for c in large.columns if c not in (*order, "trip_id", "dup_seq")]
+    window = Window.partitionBy("trip_id").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    wrong = large.withColumn("want", F.row_number().over(window)).groupBy("trip_id", *order).agg(
+        F.sort_array(F.collect_list(F.col("want").cast("bigint"))).alias("want"), F.sort_array(F.collect_list("dup_seq")).alias("got")
+    )
+    assert wrong.filter("want <> got").count() == 0
     per_key = large.groupBy("trip_id").agg(
         F.count("*").alias("n"), F.count_distinct("dup_seq").alias("d"), F.min("dup_seq").alias("lo"), F.max("dup_seq").alias("hi")
     )
     assert [r for r in per_key.collect() if not (r["n"] == r["d"] == r["hi"] and r["lo"] == 1)] == []
-    assert small.count() == len(DUPLICATES)
+    assert large.count() == len(DUPLICATES)
+
+
+def test_numbers_of_colliding_keys(spark):
+    """Rows of different key columns under one trip_id: (trip_id, dup_seq) is unique all the same."""
+    staged = stage_trips(trips(spark, *DUPLICATES))
+    flagged = rules.flag_trips(staged, materialize(rules.repeated_keys(staged), "test-repeated"), keep_copies=True)
+    out = quarantine_trips(flagged.withColumn("trip_id", F.lit("one")))
+    assert sorted(r["dup_seq"] for r in out.collect()) == list(range(1, out.count() + 1))
 
 
 def test_copies_unfold_over_several_blocks(spark, monkeypatch):
