@@ -5,7 +5,8 @@ template sentences below, in many shortened and merged forms, against ordinary p
 paragraphs without any word that speaks for a family are settled by one pattern; the others are cut into n-grams,
 which are joined with the weights. A prediction stands if its probability, on a scale set with paragraphs the model
 was not trained on, beats the unknown class, and if enough of one of the family's templates is found in the
-paragraph.
+paragraph. A paragraph is a line, or the text around the end of a line that goes on in the next one: a sentence that
+is wrapped, at any width, stands whole in the joined text of the line in which it begins.
 """
 
 from __future__ import annotations
@@ -85,6 +86,8 @@ MAX_FEATURES = 5_000
 #: Shares of paragraphs that count as known: the probability, and the part of a template's words that is found.
 PROBABILITY = 0.5
 CONFIRMED = 0.6
+#: Words that are joined from either side of a line's end: no template is longer.
+REACH = max(len(text.split()) for texts in TEMPLATES.values() for text in texts)
 WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 #: Steps, step size and penalty of the training.
 _EPOCHS, _RATE, _SPARSE = 300, 0.5, 2e-4
@@ -182,17 +185,57 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     return lines.filter(F.trim("text") != "")
 
 
+def _line_words(text: Column) -> Column:
+    """The words of each line, without marks of a comment; a line of nothing else has none."""
+    return F.transform(F.split(text, "\n", -1), lambda x: _words(F.regexp_replace(x, r"^\s*(?i:rem|dnl)\s", "")))
+
+
+def joined_and_single(docs: DataFrame) -> DataFrame:
+    """The rows of ``paragraphs`` and ``doc_id``, ``paragraph``, ``text`` of the words around each end of a line that goes on.
+
+    They are the last REACH words of the line and the first REACH words after it, up to the next line without a word.
+    ``paragraph`` is -1 less the line's number.
+    """
+    docs = docs.filter("doc_id is not null and text is not null")
+    single = F.filter(F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(i.alias("paragraph"), x.alias("text"))), lambda x: F.trim(x["text"]) != "")
+
+    def joined(w):
+        heads = F.transform(w, lambda x: F.slice(x, 1, REACH))
+
+        def at(h):
+            def one(i):
+                after = F.slice(h, i + 2, REACH)
+                gap = F.array_position(F.transform(after, lambda x: F.size(x) == 0), F.lit(True)).cast("int")
+                after = F.slice(F.flatten(F.when(gap > 0, F.slice(after, F.lit(1), gap - 1)).otherwise(after)), 1, REACH)
+                before = F.element_at(w, i + 1)
+                before = F.slice(before, F.greatest(F.size(before) - (REACH - 1), F.lit(1)), F.lit(REACH))
+                return F.struct((-1 - i).alias("paragraph"), F.array_join(F.concat(before, after), " ").alias("text"))
+
+            goes_on = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i < F.size(w) - 1) & (F.size(F.get(h, i)) > 0) & (F.size(F.coalesce(F.get(h, i + 1), F.array().cast("array<string>"))) > 0))
+            return F.transform(goes_on, one)
+
+        return F.flatten(F.transform(F.array(heads), at))
+
+    over = F.flatten(F.transform(F.array(_line_words(F.col("text"))), joined))
+    return docs.select("doc_id", F.inline(F.concat(single, over)))
+
+
 def fit(docs: DataFrame) -> Model:
     """Train against at most UNKNOWN_SAMPLE distinct paragraphs that name no licence or copyright."""
     lines = paragraphs(docs).filter(~F.lower("text").rlike("licen[cs]e|copyright|all rights|public domain|creative commons|redistribut|spdx|cc0"))
     # The draw is by content: copies of a paragraph are one, and partitions do not matter.
     keyed = lines.select(F.xxhash64("text").alias("h"), "text").filter(F.col("h") % 16 == 0)
-    few = keyed.orderBy("h", "text").limit(UNKNOWN_SAMPLE).dropDuplicates(["h"]).collect()
+    few = _least(keyed).collect()
     if len(few) < 100:
-        few = lines.select(F.xxhash64("text").alias("h"), "text").orderBy("h", "text").limit(UNKNOWN_SAMPLE).dropDuplicates(["h"]).collect()
+        few = _least(lines.select(F.xxhash64("text").alias("h"), "text")).collect()
     return train([r["text"] for r in sorted(few, key=lambda r: (r["h"], r["text"]))])
 
 
+def _least(keyed: DataFrame) -> DataFrame:
+    """UNKNOWN_SAMPLE different texts, those with the smallest hashes: copies are folded before the draw."""
+    return keyed.groupBy("h").agg(F.min("text").alias("text")).orderBy("h").limit(UNKNOWN_SAMPLE)
+
+
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(f"({WORD})"), F.lit(1))
 
@@ -229,15 +272,44 @@ def classify(lines: DataFrame, model: Model) -> DataFrame:
 def scan_licenses(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """``doc_id``, ``n_paragraphs``, ``n_licenses``, ``families`` (sorted, comma-joined) of every row of ``docs`` with a doc_id.
 
-    A null, empty or blank text has no paragraphs. Extra columns are ignored, repeated paragraphs count each.
+    ``n_paragraphs`` counts lines that are not blank. ``n_licenses`` counts the lines that a licence is found in, and
+    each stretch of consecutive lines with words once for a family that is found over the ends of its lines only. A
+    null, empty or blank text has no paragraphs. Extra columns are ignored, repeated paragraphs count each.
     """
     docs = docs.select("doc_id", "text")
-    found = classify(paragraphs(docs), model or fit(docs)).groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_licenses"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families")
-    )
+    model = model or fit(docs)
+    # Joining makes no new words, so only texts with a telling one are looked at.
+    found = classify(joined_and_single(docs.filter(F.lower("text").rlike(model.gate))), model)
+    found = found.groupBy("doc_id").agg(F.collect_list(F.struct("paragraph", "family")).alias("hits"))
     lines = F.filter(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: F.trim(x) != "")
-    out = docs.filter("doc_id is not null").select("doc_id", F.size(lines).cast("bigint").alias("n_paragraphs")).join(found, "doc_id", "left")
-    return out.select("doc_id", "n_paragraphs", F.coalesce("n_licenses", F.lit(0)).cast("bigint").alias("n_licenses"), F.coalesce("families", F.lit("")).alias("families"))
+    out = docs.filter("doc_id is not null").select("doc_id", "text", F.size(lines).cast("bigint").alias("n_paragraphs")).join(found, "doc_id", "left")
+
+    def count(w):
+        gaps = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.size(F.get(w, i)) == 0)
+        placed = F.transform(
+            "hits",
+            lambda x: F.struct(
+                (x["paragraph"] < 0).alias("joined"),
+                F.size(F.filter(gaps, lambda g: g < F.when(x["paragraph"] < 0, -1 - x["paragraph"]).otherwise(x["paragraph"]))).alias("stretch"),
+                x["family"].alias("family"),
+            ),
+        )
+
+        def total(p):
+            key = lambda x: F.struct(x["stretch"], x["family"])
+            whole, over = F.filter(p, lambda x: ~x["joined"]), F.filter(p, lambda x: x["joined"])
+            return F.size(whole) + F.size(F.array_except(F.transform(over, key), F.transform(whole, key)))
+
+        return F.element_at(F.transform(F.array(placed), total), 1)
+
+    n = F.element_at(F.transform(F.array(_line_words(F.col("text"))), count), 1)
+    families = F.array_join(F.array_sort(F.array_distinct(F.col("hits.family"))), ",")
+    return out.select(
+        "doc_id",
+        "n_paragraphs",
+        F.when(F.col("hits").isNull(), 0).otherwise(n).cast("bigint").alias("n_licenses"),
+        F.coalesce(families, F.lit("")).alias("families"),
+    )
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

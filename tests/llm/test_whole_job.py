@@ -2,7 +2,7 @@
 
 import random
 
-from farelens.llm import line_runs
+from farelens.llm import licenses, line_runs
 
 
 def fresh_words(seed):
@@ -19,3 +19,37 @@ def test_long_single_lines_are_repeats_in_the_pipeline(spark):
     assert got == {0: texts[0], 1: f"d\ne\n{short}\nf", 3: short, 4: "g\n", 5: None, 6: "", None: long}
     runs = {r["doc_id"]: [tuple(x) for x in r["runs"]] for r in line_runs.repeated_runs(df, 2, 20).collect()}
     assert runs == {1: [(1, 1, 0, 1)], 2: [(0, 1, 0, 1)], 4: [(1, 3, 1, 0), (4, 1, 0, 1)]}
+
+
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+
+
+def test_wrapped_licenses_are_found(spark):
+    rng = random.Random(2)
+    plain = [" ".join(rng.choice("sun rain the of wind a moon 3.0 tree any".split()) for _ in range(20)) for _ in range(300)]
+    bare = "spdx license\n\nidentifier mit"
+    narrow = "\n".join(f"// {w}" for w in "Licensed under the BSD 3 Clause License".split())
+    texts = [BSD, "\n".join([plain[0], *(f" * {x}" for x in GPL.split("\n")), plain[1]]), narrow, bare, "\n".join(plain[:50]), "Released under the MIT License.\nReleased under the MIT License."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_licenses"], r["families"]) for r in licenses.scan_licenses(df, licenses.train(plain)).collect()}
+    assert got == {0: (2, "bsd"), 1: (1, "gpl"), 2: (1, "bsd"), 3: (0, ""), 4: (0, ""), 5: (2, "mit")}
+
+
+def test_copies_do_not_fill_the_license_sample(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "UNKNOWN_SAMPLE", 120)
+    seen = []
+    monkeypatch.setattr(licenses, "train", lambda texts: seen.extend(texts))
+    rows = [f"line {k}" for k in range(3000)]
+    licenses.fit(spark.createDataFrame([(k, t) for k, t in enumerate(rows + [x for x in rows for _ in range(3)])], "doc_id bigint, text string"))
+    assert len(set(seen)) == len(seen) == 120
