@@ -2,7 +2,7 @@
 
 import random
 
-from farelens.llm import licenses, line_runs
+from farelens.llm import licenses, line_runs, passages
 
 
 def fresh_words(seed):
@@ -53,3 +53,29 @@ def test_copies_do_not_fill_the_license_sample(spark, monkeypatch):
     rows = [f"line {k}" for k in range(3000)]
     licenses.fit(spark.createDataFrame([(k, t) for k, t in enumerate(rows + [x for x in rows for _ in range(3)])], "doc_id bigint, text string"))
     assert len(set(seen)) == len(seen) == 120
+
+
+def _passage_pairs(spark, texts):
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in texts], "doc_id bigint, text string")
+    return {(r["doc_id"], r["from_doc"], r["start"], r["end"]) for r in passages.repeated_passages(df).collect()}
+
+
+def test_passage_with_parts_in_earlier_documents(spark):
+    fresh = fresh_words(3)
+    shared, long = fresh(80), fresh(400)
+    texts = [(1, [*shared[:40], *fresh(30)]), (2, [*fresh(30), *shared[40:]]), (50, [*fresh(5), *shared, *fresh(9)]), (60, [*fresh(7), *shared, *fresh(3)])]
+    # The outer parts of a long passage stand in two documents each, so that only its middle is linked.
+    texts += [(70, [*fresh(9), *long, *fresh(9)]), (71, [*long[:170], *fresh(9)]), (72, [*fresh(9), *long[230:]]), (3, long[:170]), (4, long[230:]), (90, [*fresh(4), *long, *fresh(6)])]
+    got = _passage_pairs(spark, texts)
+    assert (60, 50, 7, 87) in got and (90, 70, 4, 404) in got
+
+
+def test_fuzzy_short_passages_are_seeded(spark):
+    fresh = fresh_words(4)
+    texts, want = [], set()
+    for k, step in enumerate((5, 6, 8, 10, 12)):
+        words = fresh(61)
+        edited = [x if i % step != step - 1 else fresh(1)[0] for i, x in enumerate(words)]
+        texts += [(2 * k, [*fresh(20), *words, *fresh(20)]), (2 * k + 1, [*fresh(20), *edited, *fresh(20)])]
+        want.add((2 * k + 1, 2 * k))
+    assert {x[:2] for x in _passage_pairs(spark, texts)} == want
