@@ -439,9 +439,12 @@ def ngram_components(docs: DataFrame, n: int = 5, share: int = 80) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest id of each group of near copies stays; all columns stay."""
+    """Pipeline stage: the document with the smallest id of each group of near copies stays; all columns stay.
+
+    Rows without a doc_id are not compared and stay as they are.
+    """
     kept = ngram_components(docs).filter("doc_id = component_id").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import random
 
-from farelens.llm import licenses, line_runs, passages
+from farelens.llm import licenses, line_runs, ngram_join, passages
 
 
 def fresh_words(seed):
@@ -79,3 +79,10 @@ def test_fuzzy_short_passages_are_seeded(spark):
         texts += [(2 * k, [*fresh(20), *words, *fresh(20)]), (2 * k + 1, [*fresh(20), *edited, *fresh(20)])]
         want.add((2 * k + 1, 2 * k))
     assert {x[:2] for x in _passage_pairs(spark, texts)} == want
+
+
+def test_rows_without_id_stay_in_the_ngram_stage(spark):
+    text = " ".join(fresh_words(5)(30))
+    df = spark.createDataFrame([(1, text), (2, text), (None, text), (None, None)], "doc_id bigint, text string")
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in ngram_join.keep_one(spark, df, "").collect())
+    assert got == [(0, ""), (0, text), (1, text)]
