@@ -86,3 +86,10 @@ def test_rows_without_id_stay_in_the_ngram_stage(spark):
     df = spark.createDataFrame([(1, text), (2, text), (None, text), (None, None)], "doc_id bigint, text string")
     got = sorted((r["doc_id"] or 0, r["text"] or "") for r in ngram_join.keep_one(spark, df, "").collect())
     assert got == [(0, ""), (0, text), (1, text)]
+
+
+def test_runs_are_maximal_whatever_the_earliest_copies(spark):
+    texts = [(1, "x\nB\nC\ny"), (5, "A\nB\nC\nD"), (10, "A\nB\nC\nD"), (11, "C\nD\nz\nA\nB")]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = {r["doc_id"]: [tuple(x) for x in r["runs"]] for r in line_runs.repeated_runs(df).collect()}
+    assert got == {5: [(1, 2, 1, 1)], 10: [(0, 4, 5, 0)], 11: [(0, 2, 5, 2), (3, 2, 5, 0)]}
