@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("toxicity", "packing", "embedding_join", "ngram_join", "passages", "licenses", "phrase_index", "quality", "line_runs", "secrets")
+MODULES = (
+    "toxicity", "packing", "embedding_join", "ngram_join", "passages", "licenses", "phrase_index", "quality", "line_runs", "secrets",
+    "bpe",
+)
 
 
 def queries() -> dict:
