@@ -6,7 +6,7 @@ from importlib import import_module
 
 MODULES = (
     "toxicity", "packing", "embedding_join", "ngram_join", "passages", "licenses", "phrase_index", "quality", "line_runs", "secrets",
-    "bpe", "vector_codes",
+    "vector_codes", "conversations", "bpe",
 )
 
 
