@@ -1,11 +1,12 @@
 """Toxicity by maximum-scoring segments of token log odds.
 
-A token's weight is the log odds of toxic against other labelled texts, with a Dirichlet prior in proportion to its
-frequency in all documents; only weights that stand out from the prior count as positive, all others pull a segment
-down. One scan over a text, linear in its words, finds all its maximal segments of positive weight. Their scores
+A token is a word or, as a back-off for words of few texts, the first characters of one. Its weight is the log odds of
+toxic against other labelled texts, with a Dirichlet prior of half a text and what its frequency in all documents adds;
+the weight counts as far as it is sure (by its lower bound), and tokens without a sure weight pull a segment down. A word
+weighs as much as the surer of its two tokens. One scan over a text, linear in its words, finds all its maximal segments of positive weight. Their scores
 follow an extreme-value law in clean text, which turns a score and the text's length into an expected number of such
 segments by chance; the segments that chance does not explain are the toxic passages. A logistic curve over the
-evidence of the passages gives the probability of the label.
+evidence of the passages, which never falls as the evidence grows, gives the probability of the label.
 """
 
 from __future__ import annotations
@@ -20,17 +21,20 @@ from pyspark.sql import functions as F
 
 from farelens.llm.labelled import held_out, training_sample
 from farelens.llm.quality import sigmoid
-from farelens.llm.words import ALPHANUMERIC, small_batches, text_blocks
+from farelens.llm.words import ALPHANUMERIC, Block, small_batches, text_blocks
 from farelens.session import materialize, spread
 
 #: Labelled rows of either class to learn from.
 PER_CLASS = 3_000
-#: Tokens with a weight of their own, at most; all others share one. 16 bytes each go to the tasks.
-MAX_TOKENS = 150_000
+#: Tokens of fewer sample texts have no sure weight.
 LEAST_COUNT = 3
-#: Weight of the prior, as a number of tokens.
+#: Characters of a word's beginning that are a token of their own.
+STEM = 4
+#: Weight of the prior, as a number of texts' tokens, besides half a text for each token.
 PRIOR_TOKENS = 5_000.0
-Z = 3.0
+LEAST_PRIOR = 0.5
+#: Standard errors between a weight and its lower bound.
+Z = 2.5
 #: What a token without evidence adds to a segment.
 DRIFT = -1.0
 MAX_WEIGHT = 8.0
@@ -49,13 +53,21 @@ class Model:
     log_k: float
     curve: np.ndarray
 
-    def token_weights(self, hashes: np.ndarray) -> np.ndarray:
+    def token_weights(self, words: np.ndarray, stems: np.ndarray) -> np.ndarray:
+        return surer(self._weights(words), self._weights(stems))
+
+    def _weights(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.tokens):
             return np.full(len(hashes), DRIFT)
         at = np.minimum(np.searchsorted(self.tokens, hashes), len(self.tokens) - 1)
         return np.where(self.tokens[at] == hashes, self.weights[at], DRIFT)
 
 
+def surer(words: np.ndarray, stems: np.ndarray) -> np.ndarray:
+    """Weights of words with their beginnings: the larger one, but a word that is surely clean stays so."""
+    return np.where(words < DRIFT, words, np.maximum(words, stems))
+
+
 def maximal_segments(weights: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (from, to, score) of a sequence, in linear time.
 
@@ -94,20 +106,30 @@ def _inputs(best: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(best)), np.clip(best, -20, 40) / 10, np.log1p(np.clip(total, 0, None))])
 
 
+def _tokens(block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a block's words and of their first STEM characters; a shorter word is its own beginning."""
+    leads = np.flatnonzero((block.data & 0xC0) != 0x80)  # first bytes of characters
+    at = np.searchsorted(leads, block.starts) + STEM
+    ends = np.minimum(np.append(leads, np.full(STEM + 1, len(block.data)))[at], block.ends)
+    stems = block.span_hashes(block.starts, ends) ^ np.uint64(0x5DEECE66D)
+    return block.hashes().view(np.int64), stems.view(np.int64)
+
+
 def _texts(batch: pa.RecordBatch):
     for block in text_blocks(batch.column("text"), ALPHANUMERIC):
-        hashes = block.hashes().view(np.int64)
+        words, stems = _tokens(block)
         for r in range(block.n_rows):
-            yield block.first_row + r, hashes[block.bounds[r] : block.bounds[r + 1]], block
+            own = slice(block.bounds[r], block.bounds[r + 1])
+            yield block.first_row + r, words[own], stems[own], block
 
 
 def _sample_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         labels = batch.column("label").to_pylist()
         parts = [[], []]
-        for row, words, _ in _texts(batch):
+        for row, words, stems, _ in _texts(batch):
             # A token counts once a text: one that a single text repeats says little about the label.
-            parts[labels[row]].append(np.unique(words))
+            parts[labels[row]].append(np.unique(np.concatenate([words, stems])))
         for label in (0, 1):
             if parts[label]:
                 tokens, counts = np.unique(np.concatenate(parts[label]), return_counts=True)
@@ -123,10 +145,10 @@ def _corpus_counts(shared):
         counts, total = np.zeros(len(tokens) + 1, np.int64), 0
         for batch in batches:
             for block in text_blocks(batch.column("text"), ALPHANUMERIC):
-                hashes = block.hashes().view(np.int64)
+                hashes = np.concatenate(_tokens(block))
                 at = np.minimum(np.searchsorted(tokens, hashes), len(tokens) - 1)
                 at = np.where(tokens[at] == hashes, at, len(tokens))
-                row = np.repeat(np.arange(block.n_rows), np.diff(block.bounds))
+                row = np.tile(np.repeat(np.arange(block.n_rows), np.diff(block.bounds)), 2)
                 once = np.unique(row * (len(tokens) + 1) + at)  # once a text, as in the sample
                 counts += np.bincount(once % (len(tokens) + 1), minlength=len(counts))
         total = int(counts.sum())
@@ -140,10 +162,15 @@ def _corpus_counts(shared):
 
 
 def log_odds(toxic: np.ndarray, clean: np.ndarray, prior: np.ndarray, n_toxic: float, n_clean: float) -> tuple[np.ndarray, np.ndarray]:
-    """Log odds of each token with a Dirichlet prior (``prior`` sums up to PRIOR_TOKENS), and their z values."""
-    a, b = toxic + prior, clean + prior
-    delta = np.log(a / (n_toxic + PRIOR_TOKENS - a)) - np.log(b / (n_clean + PRIOR_TOKENS - b))
-    return delta, delta / np.sqrt(1 / a + 1 / b)
+    """Log odds of each token with a Dirichlet prior, and their standard errors."""
+    a, b, total = toxic + prior, clean + prior, prior.sum()
+    delta = np.log(a / (n_toxic + total - a)) - np.log(b / (n_clean + total - b))
+    return delta, np.sqrt(1 / a + 1 / b)
+
+
+def sure_weights(delta: np.ndarray, error: np.ndarray) -> np.ndarray:
+    """The lower bound of log odds above 0, the upper bound of those below it, and the drift for all in between."""
+    return np.where(delta > Z * error, np.minimum(delta - Z * error, MAX_WEIGHT), np.where(delta < -Z * error, np.maximum(delta + Z * error, -3.0) + DRIFT, DRIFT))
 
 
 def extreme_value_rate(weights: np.ndarray, shares: np.ndarray) -> float:
@@ -160,30 +187,31 @@ def extreme_value_rate(weights: np.ndarray, shares: np.ndarray) -> float:
     return high
 
 
-def _weights(counts, corpus: dict[int, int], total: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Token hashes, weights and shares among clean texts; the last share is that of all other tokens."""
+def _weights(counts, corpus: dict[int, int], total: int) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes and weights."""
     tokens = np.sort(counts["token"].unique())
     toxic, clean = (np.zeros(len(tokens)) for _ in range(2))
     for label, into in ((1, toxic), (0, clean)):
         part = counts[counts["label"] == label]
         into[np.searchsorted(tokens, part["token"])] = part["n"]
-    prior = np.array([corpus.get(int(t), 0) for t in tokens]) + 0.5
-    prior = PRIOR_TOKENS * prior / max(total, prior.sum())
-    delta, z = log_odds(toxic, clean, prior, counts.attrs["n1"], counts.attrs["n0"])
-    weights = np.where(z >= Z, np.clip(delta, 0.0, MAX_WEIGHT), np.minimum(DRIFT, np.where(z <= -Z, np.maximum(delta, -4.0), DRIFT)))
-    shares = np.append(clean / max(counts.attrs["n0"], 1), 0.0)
-    shares[-1] = max(0.0, 1 - shares.sum())
-    return tokens, weights, shares
+    share = np.array([corpus.get(int(t), 0) for t in tokens]) / max(total, 1)
+    return tokens, sure_weights(*log_odds(toxic, clean, LEAST_PRIOR + PRIOR_TOKENS * share, counts.attrs["n1"], counts.attrs["n0"]))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    w = np.zeros(x.shape[1])
-    for _ in range(60):
-        p = sigmoid(x @ w)
-        h = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + 0.1 * np.eye(x.shape[1])
-        step = np.linalg.solve(h, x.T @ (p - y) + 0.1 * w)
-        w = w - np.clip(step, -2, 2)
-    return w
+    """Coefficients of a logistic curve; all but the first are at least 0 (columns that would get less are left out)."""
+    used = np.arange(x.shape[1])
+    while True:
+        z, w = x[:, used], np.zeros(len(used))
+        for _ in range(60):
+            p = sigmoid(z @ w)
+            h = (z * (p * (1 - p) + 1e-6)[:, None]).T @ z + 0.1 * np.eye(len(used))
+            w = w - np.clip(np.linalg.solve(h, z.T @ (p - y) + 0.1 * w), -2, 2)
+        if len(used) == 1 or w[1:].min() >= 0:
+            out = np.zeros(x.shape[1])
+            out[used] = w
+            return out
+        used = np.delete(used, 1 + w[1:].argmin())
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, per_class: int = PER_CLASS) -> Model:
@@ -199,37 +227,68 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, per_c
     counts = materialize(counts, "toxic-counts")
     totals = {r["label"]: r["n"] for r in counts.groupBy("label").agg(F.sum("n").alias("n")).collect()}
     often = counts.groupBy("token").agg(F.sum("n").alias("all")).filter(F.col("all") >= LEAST_COUNT)
-    often = often.orderBy(F.desc("all"), "token").limit(MAX_TOKENS)
+    # Tokens of at most 2 * per_class texts.
     frame = counts.join(often.select("token"), "token").toPandas()
     frame.attrs.update(n0=float(totals.get(0, 0)), n1=float(totals.get(1, 0)))
     corpus, total = {}, 0
     if len(frame):
         shared = spark.sparkContext.broadcast(np.sort(frame["token"].unique()))
         found = spread(docs, docs).select("text").mapInArrow(_corpus_counts(shared), "token bigint, n bigint, is_total boolean")
-        for row in found.groupBy("token", "is_total").agg(F.sum("n").alias("n")).collect():  # at most MAX_TOKENS + 1
+        for row in found.groupBy("token", "is_total").agg(F.sum("n").alias("n")).toLocalIterator():  # one row a token of the sample
             if row["is_total"]:
                 total = row["n"]
             else:
                 corpus[row["token"]] = row["n"]
-    tokens, weights, shares = _weights(frame, corpus, total) if len(frame) else (np.zeros(0, np.int64), np.zeros(0), np.ones(1))
-    model = Model(tokens, weights, extreme_value_rate(np.append(weights, DRIFT), shares), 0.0, np.zeros(3))
-    rows = sample.orderBy("doc_id").toPandas()
-    return calibrate(model, rows["text"].tolist(), rows["label"].to_numpy(np.int64), sizes)
+        shared.destroy()
+    tokens, weights = _weights(frame, corpus, total) if len(frame) else (np.zeros(0, np.int64), np.zeros(0))
+    informative = weights != DRIFT  # all others weigh as much as unknown ones
+    model = Model(tokens[informative], weights[informative], 1.0, 0.0, np.zeros(3))
+    return calibrate(model, sample, sizes)
+
+
+def _clean_weights(model: Model):
+    """How often each weight occurs in clean sample texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.round(model.token_weights(words, stems), 6) for _, words, stems, _ in _texts(batch)]
+            values, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0), np.zeros(0, int))
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.float64()), pa.array(n, pa.int64())], ["weight", "n"])
+
+    return run
 
 
-def calibrate(model: Model, texts: list[str], labels: np.ndarray, sizes: dict[int, int]) -> Model:
-    """Fit the law's constant to the best segments of clean sample texts, then the logistic curve to all of them."""
+def _segment_scores(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores, sizes = [], []
+            for _, words, stems, _ in _texts(batch):
+                scores.append([s for _, _, s in maximal_segments(model.token_weights(words, stems))])
+                sizes.append(len(words))
+            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(sizes, pa.int64()), pa.array(scores, pa.list_(pa.float64()))], ["label", "n", "scores"])
+
+    return run
+
+
+def calibrate(model: Model, sample: DataFrame, sizes: dict[int, int]) -> Model:
+    """Fit the law to the weights and best segments of clean sample texts (text, label), then the logistic curve to all.
+
+    The texts are read in tasks; what comes to the driver are the weights' counts and the segments' scores.
+    """
     prior = float(np.log((sizes.get(1, 0) + 0.5) / (sizes.get(0, 0) + 0.5)))
+    weights = sample.filter("label = 0").select("text").mapInArrow(_clean_weights(model), "weight double, n bigint").groupBy("weight").agg(F.sum("n").alias("n")).toPandas()
+    found = sample.select("text", "label").mapInArrow(_segment_scores(model), "label int, n bigint, scores array<double>").toPandas()
+    labels = found["label"].to_numpy(np.int64)
     if len(set(labels.tolist())) < 2:
         model.curve = np.array([prior if len(labels) else 0.0, 0.0, 0.0])
         return model
-    found = []
-    for _, words, _ in _texts(pa.record_batch([pa.array(texts, pa.string())], ["text"])):
-        found.append(([s for _, _, s in maximal_segments(model.token_weights(words))], len(words)))
-    clean = [model.rate * max(s) - np.log(n) for (s, n), y in zip(found, labels, strict=True) if y == 0 and s]
+    if len(weights):
+        model.rate = extreme_value_rate(weights["weight"].to_numpy(), weights["n"].to_numpy() / weights["n"].sum())
+    rows = [(list(s), max(int(n), 1)) for s, n in zip(found["scores"], found["n"], strict=True)]
+    clean = [model.rate * max(s) - np.log(n) for (s, n), y in zip(rows, labels, strict=True) if y == 0 and s]
     # The mean of a standard extreme-value law is Euler's constant.
     model.log_k = float(np.mean(clean) - 0.5772) if clean else 0.0
-    best, total = (np.array(x) for x in zip(*[_evidence(s, n, model.rate, model.log_k) for s, n in found], strict=True))
+    best, total = (np.array(x) for x in zip(*[_evidence(s, n, model.rate, model.log_k) for s, n in rows], strict=True))
     model.curve = _logistic(_inputs(best, total), labels.astype(float))
     model.curve[0] += prior - np.log(np.sum(labels == 1) / np.sum(labels == 0))
     return model
@@ -249,13 +308,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         m = shared.value
         for batch in batches:
             best, total, passages = [], [], []
-            weights = None
-            for row, words, block in _texts(batch):
-                if weights is None or weights[0] is not block:
-                    weights = (block, m.token_weights(block.hashes().view(np.int64)))
+            for row, words, stems, block in _texts(batch):
                 r = row - block.first_row
                 first = block.bounds[r]
-                found = maximal_segments(weights[1][first : block.bounds[r + 1]])
+                found = maximal_segments(m.token_weights(words, stems))
                 x, y = _evidence([s for _, _, s in found], len(words), m.rate, m.log_k)
                 best.append(x)
                 total.append(y)
