@@ -157,8 +157,16 @@ def _scale(odds: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, per_class: int = PER_CLASS) -> Model:
     """The model for ``labels.quality``, learnt from at most ``per_class`` rows of either class that are not held out."""
     sample, sizes = training_sample(docs, labels, "quality", folds, fold, per_class)
-    rows = sample.orderBy("doc_id").toPandas()  # at most 2 * per_class texts
-    return train(rows["text"].tolist(), rows["label"].to_numpy(np.int64), sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(t, y) for batch in batches for t, y in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True)]
+        model = train([t for t, _ in rows], np.array([y for _, y in rows], np.int64), sizes)
+        yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias], "slope": [model.slope], "shift": [model.shift]})
+
+    # One task learns from the bounded sample; the texts do not come to the driver.
+    one = sample.select("doc_id", "text", "label").repartition(1).sortWithinPartitions("doc_id", "text")
+    weights, bias, slope, shift = one.mapInArrow(run, "weights binary, bias double, slope double, shift double").first()
+    return Model(np.frombuffer(weights, np.float32), bias, slope, shift)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
