@@ -93,25 +93,29 @@ def update_ledger(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = BASE +
     """Scan the blobs of ``docs`` (doc_id, text) that the ledger does not have for this rule version, add them, and
     return the ledger's rows of this version.
 
-    Each unseen blob is read at one of its paths, the one with the smallest doc_id. Rows without doc_id are not
-    scanned. A failed run adds nothing, or rows that the next run finds there.
+    A doc_id may have several versions, each a row with a text of its own, and rows may repeat. Each unseen blob is read
+    at one of its paths, the one with the smallest doc_id (null only if it has no other). A failed run adds nothing, or
+    rows that the next run finds there.
     """
     spark = docs.sparkSession
-    paths = address(docs.select("doc_id", "text").filter("doc_id is not null"))
+    paths = address(docs.select("doc_id", "text"))
     firsts = paths.groupBy("blob_id").agg(F.min("doc_id").alias("doc_id"))
     if _has_rows(spark, ledger):
         seen = spark.read.schema(BLOBS).parquet(ledger).filter(F.col("rule_version") == version).select("blob_id")
         firsts = firsts.join(seen, "blob_id", "left_anti")
-    unseen = paths.select("doc_id", "text").join(firsts, "doc_id").select("blob_id", "text")
-    found = scan(unseen, rules).select("blob_id", F.lit(version).alias("rule_version"), "found")
+    # By path and content: another version of the same path is another blob.
+    firsts = firsts.select(F.col("blob_id").alias("_blob"), F.col("doc_id").alias("_path"))
+    unseen = paths.join(firsts, (F.col("blob_id") == F.col("_blob")) & F.col("doc_id").eqNullSafe(F.col("_path"))).select("blob_id", "text")
+    found = scan(unseen, rules).select("blob_id", F.lit(version).alias("rule_version"), "found").dropDuplicates(["blob_id"])
     found.write.mode("append").parquet(ledger)
     return spark.read.schema(BLOBS).parquet(ledger).filter(F.col("rule_version") == version)
 
 
 def find_secrets(docs: DataFrame, ledger: str) -> DataFrame:
-    """``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` of every row of ``docs`` with a doc_id.
+    """``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` of every row of ``docs``.
 
-    Whole texts are scanned; null and empty texts have no spans. Other columns are ignored.
+    Whole texts are scanned; null and empty texts have no spans. Each version of a doc_id has a row with its own spans;
+    so have repeated rows and rows without a doc_id. Other columns are ignored; an empty table gives no rows.
     """
     stored = update_ledger(docs, ledger).filter(F.size("found") > 0).select("blob_id", "found").distinct()
     order = {r.kind: k for k, r in enumerate(BASE + EXTRA)}
@@ -123,7 +127,7 @@ def find_secrets(docs: DataFrame, ledger: str) -> DataFrame:
     count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
     counts = [count(rule.kind) for rule in BASE]
     findings = stored.select("blob_id", *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("found")).alias("spans"))
-    paths = address(docs.select("doc_id", "text").filter("doc_id is not null")).select("doc_id", "blob_id")
+    paths = address(docs.select("doc_id", "text")).select("doc_id", "blob_id")
     joined = paths.join(findings, "blob_id", "left")
     zeros = {f"n_{k}": 0 for k in ("assign", "access", "hex")}
     return joined.na.fill(zeros).na.fill({"base_sha256": NO_SPANS, "spans": ""}).select("doc_id", *zeros, "base_sha256", "spans")
