@@ -36,7 +36,7 @@ REPLAYED_TOGETHER = 25_000
 #: Steps of the histogram of counts for each doubling.
 STEPS = 4
 #: Pairs whose rank is remembered in a worker.
-_PAIRS = 2_000_000
+_PAIRS = 500_000
 
 
 class Vocabulary:
