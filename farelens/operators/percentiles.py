@@ -1,182 +1,79 @@
-"""Exact percentiles with linear interpolation, for columns of any size."""
+"""Exact percentiles with linear interpolation, for columns of any size, by distributed rank selection.
+
+Equal values of a column fold into one row with a count. The folded values of all columns are range-partitioned by
+column and value and stored; a range's first rank follows from the totals of the ranges before it. Each wanted rank
+then lies in one known range, and only these ranges are read again and counted through. One way for every size: no
+task holds more than a range, and only totals, one for each column and range, are put in order as a whole.
+"""
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.session import materialize
 
-# Up to this many values, over all columns, are put in order directly.
-MAX_VALUES = 20_000_000
-ACCURACY = 10_000
-MAX_ROUNDS = 8
-
 
-def exact_percentiles(
-    df: DataFrame,
-    columns: Mapping[str, Column],
-    quantiles: Sequence[float],
-    max_values: int = MAX_VALUES,
-) -> DataFrame:
-    """Rows ``(name, quantile, value)``; NULL and NaN are ignored, a column without values gives NULL.
+def fold_values(df: DataFrame, columns: Mapping[str, Column], ranges: int | None = None) -> DataFrame:
+    """Stored rows ``(name, v, n, part)``: distinct values as doubles with their counts, by range.
 
-    Few values are folded and put in order, one task per column. For many values the search narrows
-    first: sketch percentiles give a bracket around each wanted rank, counts prove that the rank is
-    inside, and only the values inside the last brackets are put in order. Each narrowing pass is a
-    map-side aggregation; no pass shuffles the data.
+    NULL and NaN are left out; the two zeros are one value. ``df`` is read once, whatever is taken from the result.
     """
-    names = list(columns)
-    plain = df.select(*[columns[n].cast("double").alias(n) for n in names])
-    values = plain.select(*[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names])
-    if values.count() * len(names) <= max_values:
-        return _in_order(values, names, quantiles)
-    # Stored narrow: the passes then neither repeat the work behind the columns nor read others.
-    stored = materialize(values, "percentile-values")
-    sizes = stored.agg(*[F.count(n).alias(n) for n in names]).first().asDict()
-    return _by_brackets(stored, sizes, quantiles, max_values)
-
-
-def _interpolated(low: Column, high: Column, weight: Column) -> Column:
-    return low + F.when(high != low, (high - low) * weight).otherwise(0.0)
-
-
-def _in_order(values: DataFrame, names: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
-    """Percentiles from the running count over the distinct values of each column."""
-    tall = values.unpivot([], list(names), "name", "v").filter("v is not null")
+    plain = df.select(*[c.cast("double").alias(n) for n, c in columns.items()])
+    values = plain.select(*[F.when(~F.isnan(n), F.col(n) + F.lit(0.0)).alias(n) for n in columns])
+    tall = values.unpivot([], list(columns), "name", "v").filter("v is not null")
     folded = tall.groupBy("name", "v").agg(F.count(F.lit(1)).alias("n"))
-    column = Window.partitionBy("name")
-    upto = folded.withColumns(
-        {
-            "upto": F.sum("n").over(column.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)),
-            "size": F.sum("n").over(column),
-        }
-    )
+    ranged = folded.repartitionByRange(*([ranges] if ranges else []), "name", "v")
+    # Stored, since a second evaluation could sample other range bounds.
+    return materialize(ranged.withColumn("part", F.spark_partition_id()), "folded-values")
 
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("upto") > rank, F.col("v")))
 
-    positions = {i: F.lit(float(q)) * (F.col("size") - 1) for i, q in enumerate(quantiles)}
-    picked = upto.groupBy("name").agg(
-        F.max("size").alias("size"),
-        *[at(F.floor(p)).alias(f"lo{i}") for i, p in positions.items()],
-        *[at(F.ceil(p)).alias(f"hi{i}") for i, p in positions.items()],
-    )
-    found = picked.select(
-        "name",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(float(q)).alias("quantile"),
-                        _interpolated(F.col(f"lo{i}"), F.col(f"hi{i}"), positions[i] - F.floor(positions[i])).alias("value"),
-                    )
-                    for i, q in enumerate(quantiles)
-                ]
-            )
-        ),
-    )
-    wanted = values.sparkSession.createDataFrame(
-        [(n, float(q)) for n in names for q in quantiles], "name string, quantile double"
+def select_percentiles(folded: DataFrame, names: Sequence[str], quantiles: Sequence[float]) -> DataFrame:
+    """Rows ``(name, quantile, value)`` from folded values; a column without values gives NULL."""
+    parts = folded.groupBy("name", "part").agg(F.sum("n").alias("part_n"))
+    column = Window.partitionBy("name")
+    earlier = column.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    spans = parts.withColumns({"start": F.coalesce(F.sum("part_n").over(earlier), F.lit(0)), "size": F.sum("part_n").over(column)})
+    each = F.array(*[F.lit(float(q)) for q in dict.fromkeys(quantiles)])
+    wanted = spans.select("*", F.explode(each).alias("quantile")).withColumn("position", F.col("quantile") * (F.col("size") - 1))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), rank("position").cast("bigint").alias("rank")) for side, rank in (("lo", F.floor), ("hi", F.ceil))])
+    ranks = wanted.select("name", "part", "start", "part_n", "quantile", "position", F.inline(sides))
+    # One row for each column, quantile and side.
+    ranks = ranks.filter("rank >= start and rank < start + part_n").drop("part_n")
+    ranks = materialize(ranks, "percentile-ranks")
+
+    hit = folded.join(F.broadcast(ranks.select("name", "part", "start").distinct()), ["name", "part"])
+    within = Window.partitionBy("name", "part").orderBy("v")
+    counted = hit.withColumn("upto", F.col("start") + F.sum("n").over(within)).drop("start")
+    sought = ranks.select(F.col("name").alias("of"), F.col("part").alias("in_part"), "quantile", "position", "side", "rank")
+    match = (F.col("name") == F.col("of")) & (F.col("part") == F.col("in_part"))
+    match = match & (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n"))
+    picked = counted.join(F.broadcast(sought), match).select("name", "quantile", "position", "side", "v")
+    found = picked.groupBy("name", "quantile").agg(
+        *[F.max(F.when(F.col("side") == side, F.col("v"))).alias(side) for side in ("lo", "hi")], F.max("position").alias("position")
     )
-    # One row per column and quantile on both sides.
-    return wanted.join(F.broadcast(found), ["name", "quantile"], "left")
-
-
-class _Bracket:
-    """The search for the values at two neighbouring ranks of one column."""
-
-    def __init__(self, name: str, quantile: float, size: int):
-        self.name, self.quantile = name, quantile
-        position = quantile * (size - 1)
-        self.low_rank, self.high_rank = math.floor(position), math.ceil(position)
-        self.weight = position - self.low_rank
-        self.low, self.high = -math.inf, math.inf
-        self.below, self.inside = 0, size
-        self.distinct = math.inf
-
-    def column(self) -> Column:
-        c = F.col(self.name)
-        return F.when(c.between(F.lit(self.low), F.lit(self.high)), c)
-
-    def wanted(self) -> list[float]:
-        """Quantiles, within the bracket, on either side of the ranks, wider than the sketch's error."""
-        slack = 2 * self.inside / ACCURACY + 1
-        low = (self.low_rank - self.below - slack) / max(self.inside - 1, 1)
-        high = (self.high_rank - self.below + slack) / max(self.inside - 1, 1)
-        return [min(max(low, 0.0), 1.0), min(max(high, 0.0), 1.0)]
-
-    def narrow(self, low: float, high: float, under: int, inside: int, distinct: int) -> None:
-        """Take the proposed bounds only if the counts prove the ranks lie inside them."""
-        if under <= self.low_rank and self.high_rank < under + inside:
-            self.low, self.high, self.below, self.inside, self.distinct = low, high, under, inside, distinct
-
-
-def _by_brackets(
-    values: DataFrame, sizes: Mapping[str, int], quantiles: Sequence[float], max_values: int
-) -> DataFrame:
-    spark = values.sparkSession
-    brackets = [_Bracket(n, q, size) for n, size in sizes.items() if size for q in quantiles]
-    for _ in range(MAX_ROUNDS):
-        if sum(b.distinct for b in brackets) * 1.2 <= max_values:
-            break
-        open_ones = [b for b in brackets if b.distinct > 1]
-        bounds = values.agg(
-            *[
-                F.percentile_approx(b.column(), F.array(*[F.lit(w) for w in b.wanted()]), ACCURACY).alias(str(i))
-                for i, b in enumerate(open_ones)
-            ]
-        ).first()
-        inside = [
-            F.when(F.col(b.name).between(F.lit(bounds[i][0]), F.lit(bounds[i][1])), F.col(b.name))
-            for i, b in enumerate(open_ones)
-        ]
-        counts = values.agg(
-            *[F.count_if(F.col(b.name) < bounds[i][0]).alias(f"u{i}") for i, b in enumerate(open_ones)],
-            *[F.count(c).alias(f"i{i}") for i, c in enumerate(inside)],
-            *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(inside)],
-        ).first()
-        for i, b in enumerate(open_ones):
-            b.narrow(*bounds[i], counts[f"u{i}"], counts[f"i{i}"], counts[f"d{i}"])
-    else:
-        if sum(b.distinct for b in brackets) > 4 * max_values:
-            raise RuntimeError("percentile brackets did not close")
-
-    if not brackets:
-        found = {}
-    else:
-        # Values of all brackets, each with its number of copies; hot values fold before the shuffle.
-        near = values.filter(reduce(or_, [b.column().isNotNull() for b in brackets])).select(
-            F.explode(
-                F.filter(
-                    F.array(*[F.struct(F.lit(i).alias("id"), b.column().alias("v")) for i, b in enumerate(brackets)]),
-                    lambda e: e["v"].isNotNull(),
-                )
-            ).alias("e")
-        )
-        folded = near.groupBy("e.id", "e.v").agg(F.count(F.lit(1)).alias("n"))
-        upto = folded.withColumn("upto", F.sum("n").over(Window.partitionBy("id").orderBy("v")))
-        ranks = F.array(
-            *[F.struct(F.lit(b.low_rank - b.below).alias("lo"), F.lit(b.high_rank - b.below).alias("hi")) for b in brackets]
-        )
-        picked = (
-            upto.withColumn("r", F.get(ranks, F.col("id")))
-            .groupBy("id")
-            .agg(
-                F.min(F.when(F.col("upto") > F.col("r.lo"), F.col("v"))).alias("lo"),
-                F.min(F.when(F.col("upto") > F.col("r.hi"), F.col("v"))).alias("hi"),
-            )
-        )
-        # One row per column and quantile.
-        found = {}
-        for r in picked.collect():
-            b = brackets[r["id"]]
-            step = (r["hi"] - r["lo"]) * b.weight if r["hi"] != r["lo"] else 0.0
-            found[b.name, b.quantile] = r["lo"] + step
-    rows = [(n, float(q), found.get((n, q))) for n in sizes for q in quantiles]
-    return spark.createDataFrame(rows, "name string, quantile double, value double")
+    weight = F.col("position") - F.floor("position")
+    step = F.when(F.col("hi") != F.col("lo"), (F.col("hi") - F.col("lo")) * weight).otherwise(0.0)
+    found = found.select("name", "quantile", (F.col("lo") + step).alias("value"))
+    asked = folded.sparkSession.createDataFrame([(n, float(q)) for n in names for q in quantiles], "name string, quantile double")
+    # One row for each column and quantile on both sides.
+    return asked.join(F.broadcast(found), ["name", "quantile"], "left")
+
+
+def exact_percentiles(df: DataFrame, columns: Mapping[str, Column], quantiles: Sequence[float], ranges: int | None = None) -> DataFrame:
+    """Rows ``(name, quantile, value)``; NULL and NaN are ignored, a column without values gives NULL."""
+    return select_percentiles(fold_values(df, columns, ranges), list(columns), quantiles)
+
+
+def summarize_values(folded: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row per column: ``count``, ``mean``, ``std`` (of a sample), ``min`` and ``max`` of its folded values."""
+    n, v = F.col("n"), F.col("v")
+    first = folded.groupBy("name").agg(F.sum("n").alias("count"), (F.sum(v * n) / F.sum("n")).alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    # One row per column; the deviations are taken from the mean, which is known by now.
+    spread = folded.join(F.broadcast(first.select("name", "mean")), "name").groupBy("name").agg(F.sum(n * (v - F.col("mean")) ** 2).alias("squares"))
+    found = first.join(F.broadcast(spread), "name").withColumn("std", F.sqrt(F.try_divide("squares", F.col("count") - 1))).drop("squares")
+    asked = folded.sparkSession.createDataFrame([(name,) for name in names], "column string")
+    joined = asked.join(F.broadcast(found), asked["column"] == found["name"], "left").drop("name")
+    return joined.withColumn("count", F.coalesce("count", F.lit(0).cast("bigint")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
 
 from farelens.functions import derive
-from farelens.operators.percentiles import exact_percentiles
+from farelens.operators.percentiles import exact_percentiles, fold_values, select_percentiles, summarize_values
 from farelens.session import materialize
 
 # Profiled columns, sample size and seed.
@@ -40,6 +40,9 @@ FARE_COLUMNS = (
 )
 SAMPLE_ROWS = 10_000
 SAMPLE_SEED = 42
+SAMPLE_SECTION = "trip_distance_values"
+# Entries of one document of the profile, about.
+DOCUMENT_ENTRIES = 50_000
 RATIO_QUANTILES = {"p10": 0.1, "median": 0.5, "p90": 0.9}
 
 
@@ -80,7 +83,11 @@ def _value_counts(df: DataFrame, columns: Sequence[str], null_key: str | None) -
 
 
 def _with_total(counts: DataFrame, column: str) -> DataFrame:
-    """Add the number of rows; every column has that many values, so one column is added up."""
+    """Add the number of rows; every column has that many values, so one column is added up.
+
+    The counts are stored first: the rows behind them are read once.
+    """
+    counts = materialize(counts, "value-counts")
     total = counts.filter(F.col("column") == column).agg(F.sum("n")).scalar()
     return counts.withColumn("total", total)
 
@@ -104,7 +111,7 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def top_values(df: DataFrame, column: str, k: int = 5) -> DataFrame:
     """The ``k`` most frequent values of a column with count and percent."""
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = materialize(df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows")), "value-counts")
     total = counts.agg(F.sum("n_rows")).scalar()
     return (
         counts.orderBy(F.desc("n_rows"), F.asc_nulls_last("value"))
@@ -131,10 +138,10 @@ def ratio_columns(
     }
 
 
-def ratio_percentiles(df: DataFrame, ratios: Mapping[str, Column] | None = None, **limits: int) -> DataFrame:
+def ratio_percentiles(df: DataFrame, ratios: Mapping[str, Column] | None = None) -> DataFrame:
     """p10, median and p90 of each ratio."""
     ratios = ratio_columns() if ratios is None else ratios
-    found = exact_percentiles(df, ratios, list(RATIO_QUANTILES.values()), **limits)
+    found = exact_percentiles(df, ratios, list(RATIO_QUANTILES.values()))
     return found.select("name", derive.label_from(F.col("quantile"), {q: n for n, q in RATIO_QUANTILES.items()}).alias("stat"), "value")
 
 
@@ -156,6 +163,11 @@ def ratio_percentiles_approx(df: DataFrame, ratios: Mapping[str, Column] | None
     )
 
 
+def row_text(df: DataFrame) -> Column:
+    """All columns of a row as one text, NULL apart from every value."""
+    return F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in df.columns])
+
+
 def reference_sample(
     df: DataFrame,
     column: str,
@@ -165,34 +177,25 @@ def reference_sample(
 ) -> DataFrame:
     """At most ``n`` non-NULL values drawn without replacement; all values if there are no more.
 
-    With a unique row ``key`` the draw is the ``n`` smallest digests of seed and key: the same on
-    any partitioning. Without one, a seeded random number per row is used, which repeats on the
-    same input files. Rows far above the expected cut are dropped before the sort, so that tasks do
-    not each hand ``n`` rows to the last one; if the cut was too low, it is raised.
+    The draw is the ``n`` smallest digests of seed and row ``key`` (the whole row where none is given), ties by value:
+    the same on any partitioning and in every run. Rows of one key and value are copies, told apart by their number;
+    they are counted, combined before the shuffle, and only numbers tell them apart. Rows far above the expected cut are
+    dropped before the sort.
     """
     present = df.filter(~_missing(df, column))
-    total = present.count()
-    if key is None:
-        draw, whole = F.rand(seed), 1.0
-    else:
-        # Leading 48 bits of the digest as a number.
-        digest = F.md5(F.concat_ws("-", F.lit(str(seed)), key.cast("string")))
-        draw, whole = F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint"), float(1 << 48)
-    drawn = present.select(
-        F.col(column).alias("value"),
-        draw.alias("_draw"),
-        (F.lit(None).cast("string") if key is None else digest).alias("_digest"),
-    )
-    margin = 1.5
-    while total > n and margin * n < total:
-        near = drawn.filter(F.col("_draw") < whole * margin * n / total)
-        if near.limit(n).count() == n:
-            drawn = near
-            break
-        margin *= 4
+    text = row_text(df) if key is None else key.cast("string")
+    rows = present.select(F.col(column).alias("value"), F.md5(F.concat_ws("-", F.lit(str(seed)), text)).alias("digest"))
+    folded = materialize(rows.groupBy("value", "digest").agg(F.count(F.lit(1)).alias("copies")), "sample-rows")
+    total = folded.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    copy = folded.select("value", "digest", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"))
+    own = F.when(F.col("copy") == 1, F.col("digest")).otherwise(F.md5(F.concat_ws("-", "digest", F.col("copy").cast("string"))))
+    drawn = copy.select("value", own.alias("digest"))
     if total <= n:
         return drawn.select("value")
-    return drawn.orderBy("_draw", "_digest").limit(n).select("value")
+    # Digests are uniform: twice the expected cut holds n of them but for a vanishing chance, which is ruled out.
+    cut = f"{min(int(16**12 * 2 * n / total), 16**12 - 1):012x}"
+    near = materialize(drawn.filter(F.substring("digest", 1, 12) <= cut), "sample-near")
+    return (near if near.limit(n).count() == n else drawn).orderBy("digest", "value").limit(n).select("value")
 
 
 def missing_summary(df: DataFrame) -> DataFrame:
@@ -237,46 +240,35 @@ def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:
     return tall.orderBy("unique_values", "column")
 
 
-def _summaries(df: DataFrame, columns: Mapping[str, Column], stats: Mapping[str, object]) -> DataFrame:
-    """One row per column with the named aggregates, all taken in one pass; NaN counts as missing."""
-    names = list(columns)
-    values = df.select(*[F.when(~F.isnan(columns[n]), columns[n]).alias(n) for n in names])
-    wide = values.agg(*[fn(F.col(n)).alias(f"{s}__{n}") for n in names for s, fn in stats.items()])
-    rows = [
-        F.struct(F.lit(n).alias("column"), *[F.col(f"{s}__{n}").alias(s) for s in stats])
-        for n in names
-    ]
-    return wide.select(F.inline(F.array(*rows)))
+def _described(df: DataFrame, columns: Mapping[str, Column], quantiles: Mapping[str, float]) -> DataFrame:
+    """One row per column with count, mean, deviation, extremes and quantiles; NaN counts as missing.
 
-
-def _with_quantiles(summary: DataFrame, df: DataFrame, columns: Mapping[str, Column], names: Mapping[str, float], **limits: int) -> DataFrame:
-    found = exact_percentiles(df, columns, list(names.values()), **limits)
-    wide = found.groupBy("name").agg(
-        *[F.max(F.when(F.col("quantile") == q, F.col("value"))).alias(n) for n, q in names.items()]
-    )
+    Everything is taken from the folded values, so that ``df`` is read once.
+    """
+    folded = fold_values(df, columns)
+    found = select_percentiles(folded, list(columns), list(quantiles.values()))
+    wide = found.groupBy("name").agg(*[F.max(F.when(F.col("quantile") == q, F.col("value"))).alias(n) for n, q in quantiles.items()])
+    summary = summarize_values(folded, list(columns))
     # Both sides have one row per summarized column.
     return summary.join(F.broadcast(wide), summary["column"] == wide["name"], "left").drop("name")
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, **limits: int) -> DataFrame:
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of the numeric columns."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    exprs = {c: F.col(c).cast("double") for c in columns}
-    stats = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    summary = _summaries(df, exprs, stats)
-    return _with_quantiles(summary, df, exprs, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, **limits).select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    described = _described(df, {c: F.col(c) for c in columns}, QUARTILES)
+    return described.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def describe_times(df: DataFrame, columns: Sequence[str] | None = None, **limits: int) -> DataFrame:
+def describe_times(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, minimum, quartiles and maximum of the time columns."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
-    exprs = {c: derive.micros(F.col(c)).cast("double") for c in columns}
-    summary = _summaries(df, exprs, {"count": F.count, "mean": F.avg, "min": F.min, "max": F.max})
-    described = _with_quantiles(summary, df, exprs, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, **limits)
+    described = _described(df, {c: derive.micros(F.col(c)) for c in columns}, QUARTILES)
     return described.select(
         "column",
         "count",
@@ -284,28 +276,25 @@ def describe_times(df: DataFrame, columns: Sequence[str] | None = None, **limits
     )
 
 
-def fare_summary(df: DataFrame, columns: Sequence[str] = FARE_COLUMNS, **limits: int) -> DataFrame:
+def fare_summary(df: DataFrame, columns: Sequence[str] = FARE_COLUMNS) -> DataFrame:
     """Count, mean, median, minimum and maximum of the fare columns."""
-    exprs = {c: F.col(c) for c in columns}
-    summary = _summaries(df, exprs, {"count": F.count, "mean": F.avg, "min": F.min, "max": F.max})
-    return _with_quantiles(summary, df, exprs, {"median": 0.5}, **limits).select(
-        "column", "count", "mean", "median", "min", "max"
-    )
+    described = _described(df, {c: F.col(c) for c in columns}, {"median": 0.5})
+    return described.select("column", "count", "mean", "median", "min", "max")
 
 
-def profile_rows(df: DataFrame, sample_key: Column | None = None, **limits: int) -> DataFrame:
+def profile_rows(df: DataFrame, sample_key: Column | None = None) -> DataFrame:
     """The whole profile as rows ``(section, name, key, value)``; of any size."""
     hours = hour_distribution(df).select(
         F.lit("hour_distribution").alias("section"), F.lit("").alias("name"), F.col("hour").cast("string").alias("key"), F.col("probability").alias("value")
     )
-    ratios = ratio_percentiles(df, **limits).select(
+    ratios = ratio_percentiles(df).select(
         F.col("name").alias("section"), F.lit("").alias("name"), F.col("stat").alias("key"), "value"
     )
     categories = category_distribution(df).select(
         F.lit("category_distribution").alias("section"), F.col("column").alias("name"), F.col("value").alias("key"), F.col("probability").alias("value")
     )
     sample = reference_sample(df, "trip_distance", sample_key).select(
-        F.lit("trip_distance_values").alias("section"), F.lit("").alias("name"), F.lit("").alias("key"), F.col("value").cast("double").alias("value")
+        F.lit(SAMPLE_SECTION).alias("section"), F.lit("").alias("name"), F.lit("").alias("key"), F.col("value").cast("double").alias("value")
     )
     return hours.unionByName(ratios).unionByName(categories).unionByName(sample)
 
@@ -315,31 +304,25 @@ def write_profile(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("section").json(path)
 
 
-def profile_document(rows: DataFrame, max_entries: int = 200_000) -> DataFrame:
-    """The profile as one nested JSON text.
+def profile_document(rows: DataFrame, entries: int = DOCUMENT_ENTRIES) -> DataFrame:
+    """The profile as nested JSON: rows ``(section, name, part, document)``, built in parallel.
 
-    One text must fit in one task, so the number of entries is counted first; a larger profile stays
-    in rows, see :func:`write_profile`.
+    A document is the map of a section's keys to values or, for the sample, the list of its values. A section's name
+    with more than ``entries`` entries is split into parts by leading digits of the key's digest, as many digits as it
+    takes, so that a document is bounded whatever the column; the union of the parts is the map.
     """
-    if rows.limit(max_entries + 1).count() > max_entries:
-        raise ValueError(f"profile has more than {max_entries} entries; use write_profile")
-
-    def entries(section: str) -> Column:
-        pair = F.when(F.col("section") == section, F.struct("key", "value"))
-        return F.map_from_entries(F.array_sort(F.collect_list(pair)))
-
-    flat = {s: entries(s).alias(s) for s in ("hour_distribution", "fare_per_mile", "tip_per_fare", "speed_distribution")}
-    sample = F.array_sort(F.collect_list(F.when(F.col("section") == "trip_distance_values", F.col("value"))))
-    main = rows.filter("section != 'category_distribution'").agg(*flat.values(), sample.alias("trip_distance_values"))
-    by_name = F.array_sort(
-        F.collect_list(F.struct("name", "m")),
-        lambda a, b: F.when(a["name"] < b["name"], -1).when(a["name"] > b["name"], 1).otherwise(0),
-    )
-    categories = (
-        rows.filter("section = 'category_distribution'")
-        .groupBy("name")
-        .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("m"))
-        .agg(F.map_from_entries(by_name).alias("category_distribution"))
-    )
-    document = main.withColumn("category_distribution", categories.scalar())
-    return document.select(F.to_json(F.struct(*document.columns)).alias("profile"))
+    sizes = rows.groupBy("section", "name").agg(F.count(F.lit(1)).alias("size"))
+    digits = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("size") / entries))).cast("int")
+    # One row for each profiled column.
+    sized = rows.join(F.broadcast(sizes.select("section", "name", digits.alias("digits"))), ["section", "name"])
+    parted = sized.withColumn("part", F.left(F.md5(F.concat("key", F.coalesce(F.col("value").cast("string"), F.lit("")))), F.col("digits")))
+    pairs = F.array_sort(F.collect_list(F.struct("key", "value")))
+    grouped = parted.groupBy("section", "name", "part").agg(pairs.alias("pairs"))
+    listed = F.array_sort(F.transform("pairs", lambda p: p["value"]))
+    document = F.when(F.col("section") == SAMPLE_SECTION, F.to_json(listed)).otherwise(F.to_json(F.map_from_entries("pairs")))
+    return grouped.select("section", "name", "part", document.alias("document"))
+
+
+def write_profile_document(rows: DataFrame, path: str) -> None:
+    """Store the profile's documents, one folder per section."""
+    profile_document(rows).write.mode("overwrite").partitionBy("section").json(path)

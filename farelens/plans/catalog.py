@@ -201,14 +201,33 @@ def _freshness(spark: SparkSession, d: str) -> DataFrame:
 
 def _describe_times(spark: SparkSession, d: str) -> DataFrame:
     described = profile.describe_times(raw_trips(spark, d))
-    quartiles = [F.unix_seconds(c).alias(c) for c in ("p25", "p50", "p75")]
-    return _present(described.select("column", "count", "min", *quartiles, "max"))
+    between = [F.unix_seconds(c).alias(c) for c in ("mean", "p25", "p50", "p75")]
+    return _present(described.select("column", "count", *between, "min", "max"))
+
+
+def _trip_text() -> Column:
+    """A raw trip as text that another engine writes the same way: times in seconds, money in cents."""
+    seconds = [F.expr(f"unix_micros(cast({c} as timestamp)) div 1000000") for c in ("lpep_pickup_datetime", "lpep_dropoff_datetime")]
+    codes = [F.col(c) for c in ("VendorID", "RatecodeID", "PULocationID", "DOLocationID", "passenger_count", "payment_type", "trip_type")]
+    cents = [F.floor(F.col(c) * 100 + 0.5) for c in ("fare_amount", "total_amount")]
+    return F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("")) for c in (*seconds, *codes, *cents)])
 
 
 def _profile_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The profile, written by section and read back."""
     path = fresh_path(spark, "profile")
-    profile.write_profile(profile.profile_rows(raw_trips(spark, d)), path)
-    return spark.read.schema("name string, key string, value double, section string").json(path)
+    profile.write_profile(profile.profile_rows(raw_trips(spark, d), _trip_text()), path)
+    rows = spark.read.schema("name string, key string, value double, section string").json(path)
+    return rows.withColumn("value", F.round(F.col("value") + 1e-9, 6))
+
+
+def _profile_document(spark: SparkSession, d: str) -> DataFrame:
+    """The nested profile, written by section and read back; values as text, as engines write numbers differently."""
+    path = fresh_path(spark, "profile-document")
+    text = F.format_string("%.6f", F.col("value") + F.lit(1e-9))
+    rows = profile.profile_rows(raw_trips(spark, d), _trip_text()).withColumn("value", text)
+    profile.write_profile_document(rows, path)
+    return spark.read.schema("name string, part string, document string, section string").json(path)
 
 
 def _percent(df: DataFrame) -> DataFrame:
@@ -248,6 +267,7 @@ def _registered() -> dict[str, Query]:
             table(spark, d, "events"), "value", F.col("event_id"), n=5000
         ),
         "profile_rows": _profile_rows,
+        "profile_document": _profile_document,
         "table_shape": raw(profile.table_shape),
         "missing_summary": raw(lambda df: _rounded(profile.missing_summary(df), percentage=4)),
         "distinct_counts": raw(profile.distinct_counts),

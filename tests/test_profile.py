@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from farelens.operators import audit, percentiles, profile
+from farelens.operators import audit, profile
 from farelens.operators.percentiles import exact_percentiles
 from tests.rows import trips
 
@@ -28,11 +28,9 @@ def distributions():
 
 
 @pytest.mark.parametrize("name, values", list(distributions()), ids=[n for n, _ in distributions()])
-@pytest.mark.parametrize("limit", [10**6, 40])
-def test_percentiles_equal_numpy(spark, monkeypatch, name, values, limit):
-    # A coarse sketch, so that several rounds of narrowing are needed.
-    monkeypatch.setattr(percentiles, "ACCURACY", 50)
-    found = exact_percentiles(values_frame(spark, values), {"x": F.col("x")}, QS, max_values=limit)
+@pytest.mark.parametrize("ranges", [None, 1, 40])
+def test_percentiles_equal_numpy(spark, name, values, ranges):
+    found = exact_percentiles(values_frame(spark, values), {"x": F.col("x")}, QS, ranges)
     got = {r["quantile"]: r["value"] for r in found.collect()}
     for q in QS:
         assert got[q] == pytest.approx(float(np.quantile(np.array(values), q)), rel=1e-12, abs=1e-12)
@@ -44,7 +42,7 @@ def test_percentiles_of_several_columns_with_missing_values(spark):
     df = spark.createDataFrame(rows, "a double, b double, c double")
     exprs = {n: F.col(n) for n in "abc"}
     direct = {(r[0], r[1]): r[2] for r in exact_percentiles(df, exprs, QS).collect()}
-    narrowed = {(r[0], r[1]): r[2] for r in exact_percentiles(df, exprs, QS, max_values=30).collect()}
+    narrowed = {(r[0], r[1]): r[2] for r in exact_percentiles(df, exprs, QS, ranges=30).collect()}
     assert direct.keys() == narrowed.keys() and len(direct) == 3 * len(QS)
     for key, value in direct.items():
         assert narrowed[key] == (None if value is None else pytest.approx(value, rel=1e-12))
@@ -100,11 +98,13 @@ def test_sample_takes_all_if_few_and_skips_missing(spark):
     assert [r["value"] for r in profile.reference_sample(df, "x", F.col("id")).collect()] == [1.0]
 
 
-def test_sample_without_key_has_the_wanted_size(spark):
-    df = spark.range(5000).select((F.col("id") * 1.0).alias("x"))
+def test_sample_without_key_is_the_same_on_any_partitioning(spark):
+    df = spark.range(5000).select((F.col("id") % 1000 * 1.0).alias("x"), F.lit("same").alias("y"))
     first = [r["value"] for r in profile.reference_sample(df, "x", n=700).collect()]
-    again = [r["value"] for r in profile.reference_sample(df, "x", n=700).collect()]
-    assert len(set(first)) == 700 and sorted(first) == sorted(again)
+    again = [r["value"] for r in profile.reference_sample(df.repartition(7), "x", n=700).collect()]
+    assert len(first) == 700 and sorted(first) == sorted(again)
+    copies = spark.range(3000).select(F.lit(1.5).alias("x"))
+    assert profile.reference_sample(copies, "x", n=50).count() == 50
 
 
 def test_missing_distinct_and_duplicates(spark):
@@ -143,16 +143,40 @@ def test_value_counts_and_top_values(spark):
 def test_profile_document(spark, tmp_path):
     df = trips(spark, {}, {"trip_distance": 5.0}, {"RatecodeID": None})
     rows = profile.profile_rows(df)
-    document = json.loads(profile.profile_document(rows).first()["profile"])
-    assert document["hour_distribution"]["8"] == 1.0 and len(document["hour_distribution"]) == 24
-    assert sorted(document["trip_distance_values"]) == [3.0, 3.0, 5.0]
-    assert set(document["fare_per_mile"]) == {"p10", "median", "p90"}
-    assert document["category_distribution"]["RatecodeID"] == {"1": pytest.approx(2 / 3), "null": pytest.approx(1 / 3)}
-    with pytest.raises(ValueError):
-        profile.profile_document(rows, max_entries=10)
+    found = {(r["section"], r["name"]): json.loads(r["document"]) for r in profile.profile_document(rows).collect()}
+    hours = found["hour_distribution", ""]
+    assert hours["8"] == 1.0 and len(hours) == 24
+    assert found["trip_distance_values", ""] == [3.0, 3.0, 5.0]
+    assert set(found["fare_per_mile", ""]) == {"p10", "median", "p90"}
+    assert found["category_distribution", "RatecodeID"] == {"1": pytest.approx(2 / 3), "null": pytest.approx(1 / 3)}
+    assert {name for section, name in found if section == "category_distribution"} == set(profile.PROFILED_COLUMNS)
     profile.write_profile(rows, str(tmp_path / "p"))
     back = spark.read.schema("name string, key string, value double, section string").json(str(tmp_path / "p"))
     assert back.count() == rows.count()
+    profile.write_profile_document(rows, str(tmp_path / "d"))
+    assert spark.read.json(str(tmp_path / "d")).count() == len(found)
+
+
+def test_large_sections_are_split_into_parts(spark):
+    rows = spark.range(5000).select(
+        F.lit("category_distribution").alias("section"), F.lit("c").alias("name"), F.col("id").cast("string").alias("key"), (F.col("id") * 1.0).alias("value")
+    )
+    parts = profile.profile_document(rows, entries=100).collect()
+    whole = {}
+    for r in parts:
+        piece = json.loads(r["document"])
+        assert len(piece) < 100 and not whole.keys() & piece.keys()
+        whole |= piece
+    assert whole == {str(k): float(k) for k in range(5000)} and len(parts) == 256
+    assert profile.profile_document(rows.filter("false")).count() == 0
+
+
+def test_summaries_read_their_rows_once(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(100).select((F.col("id") % 7 * 1.0).alias("x")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for described in (profile.describe_numeric(df), profile.top_values(df, "x"), profile.value_counts(df, ["x"])):
+        assert path not in described._jdf.queryExecution().executedPlan().toString()  # only stored folds are left to read
 
 
 def test_audit(spark):
