@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from farelens.functions import derive
 from farelens.operators import audit, checks, marts, profile, rules, scorecard
 from farelens.operators.enrich import enrich_trips
 from farelens.operators.routing import clean_trips, quarantine_trips, unrouted_trips
+from farelens.operators.staging import for_period
 from farelens.plans.batch import staging_suite
 from farelens.plans.driver_tables import (
     UNKNOWN_NATIONS,
@@ -24,15 +25,18 @@ from farelens.plans.driver_tables import (
 )
 from farelens.session import fresh_path, materialize, use_utc
 from farelens.sources.readers import read_event_stream, read_zones
-from farelens.sources.tables import LOAD_PERIOD, replace_partitions, replace_period, upsert
-from farelens.streaming.events import CLEAN, DEAD, QUARANTINE, assign_route, parse_events, validate_events
-from farelens.streaming.job import StreamOptions, read_stream_table, run_stream, table_rows
+from farelens.sources.tables import LOAD_PERIOD, read_table, replace_partitions, replace_period, upsert
+from farelens.streaming.events import CLEAN, DEAD, QUARANTINE
+from farelens.streaming.job import LATE, StreamOptions, run_stream
+from farelens.streaming.storage import compact_stream, read_stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 NOW = "2024-01-31 00:20:00"
+MONTH, EMPTY_MONTH = "1995-03", "2031-01"
 PERIOD_START, PERIOD_END = "1996-01-01 00:00:00", "2000-12-31 23:59:59"
 STREAM = StreamOptions(unknown_zones=UNKNOWN_NATIONS, trigger={"availableNow": True})
+STREAM_WATERMARK = StreamOptions(unknown_zones=UNKNOWN_NATIONS, trigger={"availableNow": True}, dedupe="watermark", watermark="10 days")
 STREAM_DEDUPE = StreamOptions(unknown_zones=UNKNOWN_NATIONS, trigger={"availableNow": True}, dedupe="table")
 
 
@@ -108,9 +112,24 @@ def _scorecard(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _comparison(spark: SparkSession, d: str) -> DataFrame:
-    events = validate_events(parse_events(event_messages(spark, d)), UNKNOWN_NATIONS)
-    stream = table_rows(assign_route(events), CLEAN, STREAM)
-    return _present(marts.batch_streaming_comparison(_enriched(spark, d), stream))
+    """Both sides as committed: the upserted trips and the table that the stream wrote."""
+    enriched, path = _enriched(spark, d), fresh_path(spark, "enriched-trips")
+    upsert(enriched, path, ["trip_id"], "source_period")
+    stream = read_stream_table(spark, _streamed(spark, d), CLEAN)
+    return _present(marts.batch_streaming_comparison(read_table(spark, path, enriched.schema), stream))
+
+
+def _scorecard_of_periods(spark: SparkSession, d: str) -> DataFrame:
+    """The run of one month and of a month without trips."""
+    ruled = rules.apply_rules(staged_trips(spark, d), _rules())
+    cards = [scorecard.dq_scorecard(for_period(ruled, p), p) for p in (MONTH, EMPTY_MONTH)]
+    return _present(cards[0].unionByName(cards[1]))
+
+
+def _flag_period(spark: SparkSession, d: str) -> DataFrame:
+    trips = for_period(staged_trips(spark, d), MONTH)
+    repeated = materialize(rules.repeated_keys(trips), "repeated-keys")
+    return _present(rules.flag_trips(trips, repeated, _rules()))
 
 
 def _ts(text: str) -> Column:
@@ -144,7 +163,7 @@ def _upsert(spark: SparkSession, d: str) -> DataFrame:
     upsert(trips.filter("status in ('F', 'O')").drop("status"), path, ["trip_id"], "source_period")
     changed = trips.filter("status in ('O', 'P')").drop("status").withColumn("total_amount", F.col("total_amount") + 1)
     upsert(changed, path, ["trip_id"], "source_period")
-    return spark.read.schema("trip_id bigint, total_amount double, source_period string").parquet(path)
+    return read_table(spark, path, StructType.fromDDL("trip_id bigint, total_amount double, source_period string"))
 
 
 def _replace_period(spark: SparkSession, d: str) -> DataFrame:
@@ -158,27 +177,24 @@ def _replace_period(spark: SparkSession, d: str) -> DataFrame:
     return stored.withColumnRenamed(LOAD_PERIOD, "load_year")
 
 
-def _streamed(spark: SparkSession, d: str, options: StreamOptions = STREAM) -> str:
-    """Run the job once over all messages as text files; returns the folder of the tables."""
+def _streamed(spark: SparkSession, d: str, options: StreamOptions = STREAM, times: int = 1) -> str:
+    """Run the job over all messages as text files, each time delivered anew; returns the folder of the tables."""
     source, out, state = (fresh_path(spark, n) for n in ("messages", "stream-tables", "stream-state"))
-    messages = event_messages(spark, d)
-    messages.select("value").write.text(source)
-    run_stream(read_event_stream(spark, source), out, state, options).awaitTermination()
-    if options.dedupe:
-        # Every purchase is delivered a second time, in a later batch.
-        messages.filter("event_type = 'purchase'").select("value").write.mode("append").text(source)
+    for _ in range(times):
+        event_messages(spark, d).select("value").write.mode("append").text(source)
         run_stream(read_event_stream(spark, source), out, state, options).awaitTermination()
     return out
 
 
 EVENT_OUT = (
-    "event_id vendor_id rate_code_id passenger_count trip_type payment_type store_and_fwd_flag pu_location_id "
-    "do_location_id trip_distance fare_amount tip_amount congestion_surcharge cbd_congestion_fee total_amount"
+    "event_id event_time vendor_id rate_code_id passenger_count trip_type payment_type store_and_fwd_flag pu_location_id "
+    "do_location_id trip_distance fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge "
+    "congestion_surcharge cbd_congestion_fee total_amount pickup_datetime dropoff_datetime"
 ).split()
 CLEAN_OUT = [
     *EVENT_OUT,
     *(
-        "pickup_datetime pickup_date pickup_hour pickup_day_name is_weekend trip_duration_minutes time_period "
+        "pickup_date pickup_hour pickup_day_name is_weekend trip_duration_minutes time_period "
         "payment_label store_and_fwd_flag_label _data_source"
     ).split(),
 ]
@@ -190,8 +206,35 @@ def _stream_table(name: str, columns: list[str]) -> Query:
 
 
 def _stream_dedupe(spark: SparkSession, d: str) -> DataFrame:
-    out = _streamed(spark, d, STREAM_DEDUPE)
-    return read_stream_table(spark, out, CLEAN).groupBy("event_id").agg(F.count(F.lit(1)).alias("n_rows"))
+    """All messages are delivered twice: good and bad trips are stored once, dead letters each time."""
+    out = _streamed(spark, d, STREAM_DEDUPE, 2)
+    parts = [
+        read_stream_table(spark, out, t).select(F.lit(t).alias("stored_in"), "event_id", F.round("total_amount", 2).alias("total_amount"), F.lit(None).cast("string").alias("error"))
+        for t in (CLEAN, QUARANTINE)
+    ]
+    dead = read_stream_table(spark, out, DEAD).select(F.lit(DEAD).alias("stored_in"), F.col("value").alias("event_id"), F.lit(None).cast("double").alias("total_amount"), "error")
+    return parts[0].unionByName(parts[1]).unionByName(dead)
+
+
+def _stream_dedupe_watermark(spark: SparkSession, d: str) -> DataFrame:
+    """All messages are delivered twice; the second time, those older than the watermark are late."""
+    out = _streamed(spark, d, STREAM_WATERMARK, 2)
+    ids = [read_stream_table(spark, out, t).select(F.lit(t).alias("stored_in"), "event_id", F.lit(None).cast("string").alias("error")) for t in (CLEAN, QUARANTINE)]
+    dead = read_stream_table(spark, out, DEAD)
+    late = F.when(F.col("error") == LATE, F.get_json_object("value", "$.event_id")).otherwise(F.col("value"))
+    return ids[0].unionByName(ids[1]).unionByName(dead.select(F.lit(DEAD).alias("stored_in"), late.alias("event_id"), "error"))
+
+
+def _stream_compact(spark: SparkSession, d: str) -> DataFrame:
+    """All messages are delivered twice, in batches of their own; the tables are compacted after each."""
+    source, out, state = (fresh_path(spark, n) for n in ("messages", "stream-tables", "stream-state"))
+    for _ in range(3):
+        event_messages(spark, d).select("value").write.mode("append").text(source)
+        run_stream(read_event_stream(spark, source), out, state, STREAM).awaitTermination()
+        for table in (CLEAN, QUARANTINE, DEAD):
+            compact_stream(spark, out, table)
+    parts = [read_stream_table(spark, out, t).select(F.lit(t).alias("stored_in"), F.col(key).alias("event_id")) for t, key in ((CLEAN, "event_id"), (QUARANTINE, "event_id"), (DEAD, "value"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("stored_in", "event_id").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def _freshness(spark: SparkSession, d: str) -> DataFrame:
@@ -312,6 +355,10 @@ def _registered() -> dict[str, Query]:
         "stream_quarantine": _stream_table(QUARANTINE, QUARANTINE_OUT),
         "stream_dead_letter": _stream_table(DEAD, ["value", "error"]),
         "stream_dedupe": _stream_dedupe,
+        "stream_dedupe_watermark": _stream_dedupe_watermark,
+        "stream_compact": _stream_compact,
+        "dq_scorecard_period": _scorecard_of_periods,
+        "flag_period": _flag_period,
         "freshness": _freshness,
     }
 

@@ -1,7 +1,8 @@
 """Parquet tables: period replacement, upsert and full refresh.
 
 A table is a folder with a declared schema. Writes replace whole folders (a period, a batch or the
-table), so running a job again gives the same table.
+table), so running a job again gives the same table. Partitioned upserts go to tables with versions
+(:mod:`farelens.sources.versions`); :func:`read_table` reads both kinds.
 """
 
 from __future__ import annotations
@@ -14,10 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from farelens.session import materialize
+from farelens.sources.versions import file_system, folder_name, is_versioned, read_manifest, read_versions, replace_folders
 
 LOAD_PERIOD = "load_period"
-# Up to this many partition values are listed in a filter.
-MAX_LISTED = 1_000
 CLUSTER_COLUMNS = ("PULocationID", "DOLocationID")
 
 
@@ -43,6 +43,8 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read with the declared schema: an empty table is as good as a full one."""
+    if is_versioned(spark, path):
+        return read_versions(spark, path, schema)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -92,43 +94,38 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
     """Merge on ``keys``: matching rows are replaced, new ones are added, others stay.
 
     With a ``partition_col``, which must follow from the keys, only the partitions that occur in the
-    source are read and rewritten; the merged rows are stored before these are touched. Without one,
-    the merged rows are written beside the table, which is then exchanged by renaming: a run that is
-    cut short anywhere leaves the old table or the new one, and can be repeated. A key twice in the
-    source is refused; NULL keys match nothing.
+    source are read; their merged rows are written as a new version, and one rename of a manifest
+    commits all of them. Without one, the merged rows are written beside the table, which is then
+    exchanged by renaming. A run that is cut short anywhere leaves the old table or the new one, and
+    can be repeated. A key twice in the source is refused; NULL keys match nothing.
     """
     spark = source.sparkSession
-    recover_table(spark, path)
+    if not partition_col:
+        recover_table(spark, path)
     source = materialize(source, "upsert-source")
     repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
     example = repeated.first()
     if example is not None:
         raise DuplicateKeyError(f"key {example.asDict()} is not unique in the source")
 
+    if partition_col:
+        _, manifest = read_manifest(spark, path)
+        # One value for each folder that is rewritten.
+        names = {folder_name(partition_col, r[0]) for r in source.select(F.col(partition_col).cast("string")).distinct().collect()}
+        target = read_versions(spark, path, _target_schema(source, partition_col), names & manifest.keys())
+        kept = target.join(source.select(*keys), list(keys), "left_anti")
+        replace_folders(kept.select(*source.columns).unionByName(source), path, partition_col, names, rebalance=len(names) > 1)
+        return
     merged = source
     if table_exists(spark, path):
-        target = spark.read.schema(_target_schema(source, partition_col)).parquet(path)
-        if partition_col:
-            target = same_partitions(target, source, partition_col)
-        kept = target.join(source.select(*keys), list(keys), "left_anti")
-        merged = kept.select(*source.columns).unionByName(source)
-        if partition_col:  # what a plan reads is never what it overwrites
-            merged = materialize(merged, "upsert-merged")
-    if partition_col:
-        several = source.select(partition_col).distinct().limit(2).count() > 1
-        replace_partitions(merged, path, partition_col, rebalance=several)
-    else:
-        exchange_table(merged, path)
-
-
-def _file_system(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path
-    return folder(path).getFileSystem(spark._jsc.hadoopConfiguration()), folder
+        target = spark.read.schema(source.schema).parquet(path)
+        merged = target.join(source.select(*keys), list(keys), "left_anti").select(*source.columns).unionByName(source)
+    exchange_table(merged, path)
 
 
 def recover_table(spark: SparkSession, path: str) -> None:
     """Finish or undo an exchange of the table that was cut short."""
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     old = folder(f"{path}.old")
     if fs.exists(old):
         if fs.exists(folder(path)):
@@ -142,7 +139,7 @@ def exchange_table(df: DataFrame, path: str) -> None:
     spark = df.sparkSession
     recover_table(spark, path)
     df.write.mode("overwrite").parquet(f"{path}.next")
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     if fs.exists(folder(path)) and not fs.rename(folder(path), folder(f"{path}.old")):
         raise OSError(f"{path} could not be set aside")
     if not fs.rename(folder(f"{path}.next"), folder(path)):
@@ -150,21 +147,6 @@ def exchange_table(df: DataFrame, path: str) -> None:
     fs.delete(folder(f"{path}.old"), True)
 
 
-def same_partitions(target: DataFrame, source: DataFrame, partition_col: str, max_listed: int = MAX_LISTED) -> DataFrame:
-    """Rows of ``target`` in the partitions that occur in ``source``, NULL included.
-
-    The few values are listed in the filter, so that only their folders are planned and read. Too
-    many values to list are matched by a join.
-    """
-    found = source.select(partition_col).distinct()
-    values = [r[0] for r in found.limit(max_listed + 1).collect()]
-    if len(values) > max_listed:
-        other = found.select(F.col(partition_col).alias("_partition"))
-        return target.join(other, F.col(partition_col).eqNullSafe(F.col("_partition")), "left_semi")
-    listed = F.col(partition_col).isin([v for v in values if v is not None])
-    return target.filter(listed | F.col(partition_col).isNull() if None in values else listed)
-
-
-def _target_schema(source: DataFrame, partition_col: str | None) -> StructType:
+def _target_schema(source: DataFrame, partition_col: str) -> StructType:
     fields = [f for f in source.schema.fields if f.name != partition_col]
     return StructType([*fields, *[f for f in source.schema.fields if f.name == partition_col]])

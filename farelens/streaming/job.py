@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from farelens.operators.rules import STREAM_COMPONENTS, UNKNOWN_ZONES
-from farelens.sources.schemas import DEAD_LETTER, STREAM_CLEAN, STREAM_QUARANTINE, select_to_schema
-from farelens.sources.tables import ensure_table, replace_partitions, same_partitions
+from farelens.sources.schemas import select_to_schema
+from farelens.sources.tables import replace_partitions, table_exists
 from farelens.streaming.events import (
     CLEAN,
     DEAD,
@@ -22,14 +21,11 @@ from farelens.streaming.events import (
     parse_events,
     validate_events,
 )
+from farelens.streaming.storage import DAY, PARTITIONS, SCHEMAS, create_stream_tables, read_stored
 
-SCHEMAS = {CLEAN: STREAM_CLEAN, QUARANTINE: STREAM_QUARANTINE, DEAD: DEAD_LETTER}
-# Each table is stored by day, and within a day by the query and micro-batch that wrote the rows: a
-# replayed batch replaces exactly what it wrote before. Dead letters have no event day, and their
-# time of arrival changes in a replay.
-_WRITER = [StructField("query_id", StringType()), StructField("batch_id", LongType())]
-_DAY = StructField("event_date", DateType())
-PARTITIONS = {CLEAN: [_DAY, *_WRITER], QUARANTINE: [_DAY, *_WRITER], DEAD: _WRITER}
+# Kept per query and batch; what the watermark of the next batch follows from.
+WATERMARKS = "_watermarks"
+LATE = "late_event"
 _QUERY_ID = "sql.streaming.queryId"
 
 
@@ -45,57 +41,45 @@ class StreamOptions:
     trigger: dict = field(default_factory=lambda: {"processingTime": "1 minute"})
 
 
-def stored_schema(table: str) -> StructType:
-    """Columns as stored; nothing is declared non-NULL when reading files."""
-    fields = [StructField(f.name, f.dataType) for f in SCHEMAS[table].fields]
-    return StructType([*fields, *PARTITIONS[table]])
+def _usable() -> Column:
+    return (F.col("route") != DEAD) & F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
 
 
-def read_stream_table(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    """A stream table without its storage columns."""
-    stored = spark.read.schema(stored_schema(table)).parquet(f"{out_dir}/{table}")
-    return stored.select(*SCHEMAS[table].fieldNames())
+def split_late(batch: DataFrame, query_id: str, batch_id: int, out_dir: str, delay: str) -> DataFrame:
+    """Send events older than the watermark to the dead letters, as ``late_event``.
 
-
-def create_stream_tables(spark: SparkSession, out_dir: str) -> None:
-    for table in SCHEMAS:
-        ensure_table(spark, f"{out_dir}/{table}", SCHEMAS[table])
-
-
-def drop_repeats_by_watermark(events: DataFrame, delay: str) -> DataFrame:
-    """Drop an event whose id came before, within ``delay``; bounded state.
-
-    Rows without a usable id or time are passed by: as one NULL key they would swallow each other.
-    Events later than the watermark are dropped by Spark (see ``numRowsDroppedByWatermark``).
+    The watermark is the newest event time of the batches before, less ``delay``. That time is stored with each batch,
+    so a replay finds the watermark it had, and a batch looks at one row of the one before it.
     """
-    usable = F.col("error").isNull() & F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
-    keyed = events.filter(usable).withWatermark("event_time", delay).dropDuplicatesWithinWatermark(["event_id"])
-    return keyed.unionByName(events.filter(~usable))
-
-
-def drop_repeats_by_table(batch: DataFrame, query_id: str, batch_id: int, out_dir: str) -> DataFrame:
+    spark = batch.sparkSession
+    state = lambda k: f"{out_dir}/{WATERMARKS}/query_id={query_id}/batch_id={k}"
+    before = None
+    if batch_id and table_exists(spark, state(batch_id - 1)):
+        before = spark.read.schema("newest timestamp").parquet(state(batch_id - 1)).first()["newest"]
+    newest = batch.filter(_usable()).agg(F.greatest(F.max("event_time"), F.lit(before).cast("timestamp")).alias("newest"))
+    newest.write.mode("overwrite").parquet(state(batch_id))
+    if before is None:
+        return batch
+    late = _usable() & (F.col("event_time") < F.lit(before).cast("timestamp") - F.expr(f"interval {delay}"))
+    return batch.withColumns({"error": F.when(late, LATE).otherwise(F.col("error")), "route": F.when(late, DEAD).otherwise(F.col("route"))})
+
+
+def drop_repeats(batch: DataFrame, query_id: str, batch_id: int, out_dir: str) -> DataFrame:
     """Drop events of this micro-batch that the tables hold already, and repeats within the batch.
 
-    Exact for any lateness: only the stored days that occur in the batch are read. A repeat carries the
-    same event time. Within the batch the least row of an id is kept: an aggregation, so a
+    Exact for any lateness: the stored days that occur in the batch are read, by their folders, and no others. A repeat
+    carries the same event time. Within the batch the least row of an id is kept: an aggregation, so a
     much-repeated id folds before the shuffle. Rows of the batch's own number are ignored, so a
     replay gives the same result.
     """
     spark = batch.sparkSession
-    usable = (F.col("route") != DEAD) & F.col("event_id").isNotNull() & F.col("event_time").isNotNull()
-    columns = batch.columns
-    days = batch.filter(usable).select(F.to_date("event_time").alias("event_date"))
+    columns, usable = batch.columns, _usable()
+    days = [r[0] for r in batch.filter(usable).select(F.date_format("event_time", "yyyy-MM-dd")).distinct().collect()]
     least = batch.filter(usable).groupBy("event_id").agg(F.min(F.struct(*columns)).alias("_row"))
-    keyed = least.select("_row.*").withColumn("event_date", F.to_date("event_time"))
+    keyed = least.select("_row.*")
     for table in (CLEAN, QUARANTINE):
-        stored = (
-            spark.read.schema(stored_schema(table))
-            .parquet(f"{out_dir}/{table}")
-            .filter((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
-            .select("event_date", "event_id")
-        )
-        stored = same_partitions(stored, days, "event_date")
-        keyed = keyed.join(stored, ["event_date", "event_id"], "left_anti")
+        stored = read_stored(spark, out_dir, table, days).filter((F.col("query_id") != query_id) | (F.col("batch_id") != batch_id))
+        keyed = keyed.join(stored.select("event_id"), "event_id", "left_anti")
     return keyed.select(*columns).unionByName(batch.filter(~usable))
 
 
@@ -113,11 +97,15 @@ def write_routed(routed: DataFrame, query_id: str, batch_id: int, out_dir: str,
     """Write one micro-batch to the three tables; writing it again replaces its own partitions."""
     routed = routed.persist()
     try:
-        kept = drop_repeats_by_table(routed, query_id, batch_id, out_dir) if options.dedupe == "table" else routed
+        kept = routed
+        if options.dedupe == "watermark":
+            kept = split_late(kept, query_id, batch_id, out_dir, options.watermark)
+        if options.dedupe:
+            kept = drop_repeats(kept, query_id, batch_id, out_dir)
         stamp = {"query_id": F.lit(query_id), "batch_id": F.lit(batch_id).cast("bigint")}
         for table in SCHEMAS:
             rows = table_rows(kept, table, options).withColumns(stamp)
-            by_day = _DAY in PARTITIONS[table]
+            by_day = DAY in PARTITIONS[table]
             if by_day:
                 rows = rows.withColumn("event_date", F.to_date("event_time"))
             folders = [f.name for f in PARTITIONS[table]]
@@ -131,19 +119,16 @@ def run_stream(
 ) -> StreamingQuery:
     """Start the job on a stream of messages and return its query.
 
-    ``dedupe`` is off by default. ``table`` compares with the stored days and loses nothing.
-    ``watermark`` keeps recent ids in the state store: cheaper per batch, but events later than the
-    watermark are dropped.
+    ``dedupe`` is off by default. ``table`` compares with all stored days that occur in a batch. ``watermark`` does so
+    within ``options.watermark`` of the newest event only, so that the days read for a batch are bounded; older events
+    become dead letters with the reason ``late_event``. Neither loses a message.
     """
     options = options or StreamOptions()
     if options.dedupe not in (None, "table", "watermark"):
         raise ValueError(f"unknown dedupe mode {options.dedupe!r}")
     spark = messages.sparkSession
     create_stream_tables(spark, out_dir)
-    parsed = parse_events(messages)
-    if options.dedupe == "watermark":
-        parsed = drop_repeats_by_watermark(parsed, options.watermark)
-    routed = assign_route(validate_events(parsed, options.unknown_zones, options.components))
+    routed = assign_route(validate_events(parse_events(messages), options.unknown_zones, options.components))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Kept in the checkpoint: the same query has the same id after a restart.

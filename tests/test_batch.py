@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from farelens.operators.checks import CheckFailed
 from farelens.plans.batch import Warehouse, comparison_suite, read_raw, refresh_comparison, run_period
 from farelens.operators import checks
+from farelens.sources import versions
 from tests.rows import trips
 
 ZONES = "LocationID,Borough,Zone,service_zone\n" + "".join(f"{i},B{i % 3},Z{i},s\n" for i in (1, 2, 12, 264, 265))
@@ -30,9 +31,18 @@ def place(spark, tmp_path):
     return tmp_path
 
 
+def stored(spark, root, name):
+    """A table of the warehouse; those with versions are read as their newest manifest has them."""
+    path = f"{root}/wh/{name}"
+    if not versions.is_versioned(spark, path):
+        return spark.read.parquet(path)
+    _, manifest = versions.read_manifest(spark, path)
+    return spark.read.option("basePath", path).parquet(*[f"{path}/version={v}/{f}" for f, v in manifest.items()]).drop("version")
+
+
 def tables(spark, root):
     def rows(name):
-        df = spark.read.parquet(f"{root}/wh/{name}")
+        df = stored(spark, root, name)
         hidden = [c for c in ("_loaded_at", "run_at", "dq_checked_at", "marts_last_refreshed_at") if c in df.columns]
         return sorted(str(tuple(r)) for r in df.drop(*hidden).collect())
 
@@ -75,7 +85,7 @@ def test_strict_policy_quarantines_what_sql_leaves_out(spark, place):
 
 def test_comparison_of_batch_and_stream(spark, place):
     run(spark, place, "2026-04", "april")
-    enriched = spark.read.parquet(f"{place}/wh/int_trips_enriched")
+    enriched = stored(spark, place, "int_trips_enriched")
     refresh_comparison(enriched, enriched.select(*[F.col(c) for c in ("trip_distance", "fare_amount", "total_amount")]), Warehouse(f"{place}/wh"))
     mart = spark.read.parquet(f"{place}/wh/batch_streaming_comparison")
     assert {r["data_source"]: r["trip_count"] for r in mart.collect()} == {"batch": 3, "streaming": 3}

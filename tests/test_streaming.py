@@ -11,7 +11,8 @@ from farelens.operators.scorecard import freshness
 from farelens.sources.readers import read_event_stream
 from farelens.sources.schemas import STREAM_CLEAN, STREAM_QUARANTINE
 from farelens.streaming.events import CLEAN, DEAD, QUARANTINE, assign_route, parse_events, validate_events
-from farelens.streaming.job import StreamOptions, create_stream_tables, read_stream_table, run_stream, table_rows, write_routed
+from farelens.streaming.job import StreamOptions, run_stream, table_rows, write_routed
+from farelens.streaming.storage import compact_stream, create_stream_tables, read_stream_table, remove_covered
 
 GOOD = {
     "event_id": "e1",
@@ -142,6 +143,73 @@ def test_table_dedupe_keeps_late_events(spark, tmp_path):
     assert sorted(r["event_id"] for r in rows(spark, tmp_path, CLEAN)) == ["e1", "late"]
 
 
+def test_late_events_become_dead_letters(spark, tmp_path):
+    at = lambda day, key: message(event_time=f"2026-06-{day:02d}T10:00:00+00:00", event_id=key)
+    put(tmp_path / "in", "a", at(10, "first"), at(2, "old, but in the first batch"))
+    run(spark, tmp_path, dedupe="watermark", watermark="3 days")
+    put(tmp_path / "in", "b", at(8, "in time"), at(6, "late"), at(6, "late"), at(10, "first"), "junk")
+    run(spark, tmp_path, dedupe="watermark", watermark="3 days")
+    put(tmp_path / "in", "c", at(7, "at the mark"), at(2, "late again"))
+    run(spark, tmp_path, dedupe="watermark", watermark="3 days")
+    assert sorted(r["event_id"] for r in rows(spark, tmp_path, CLEAN)) == ["at the mark", "first", "in time", "old, but in the first batch"]
+    dead = sorted((r["error"], json.loads(r["value"])["event_id"] if r["error"] == "late_event" else r["value"]) for r in rows(spark, tmp_path, DEAD))
+    assert dead == [("late_event", "late"), ("late_event", "late"), ("late_event", "late again"), ("malformed_message", "junk")]
+
+
+def test_replay_of_a_batch_with_late_events(spark, tmp_path):
+    out, options = str(tmp_path / "out"), StreamOptions(dedupe="watermark", watermark="1 day")
+    create_stream_tables(spark, out)
+    judged = lambda *lines: assign_route(validate_events(parse_events(spark.createDataFrame([(x,) for x in lines], "value string"))))
+    write_routed(judged(message()), "q", 0, out, options)
+    for _ in range(2):
+        write_routed(judged(message(event_id="e2", event_time="2026-07-01T00:00:00+00:00"), message(event_id="e3", event_time="2026-06-06T09:00:00+00:00")), "q", 1, out, options)
+    assert sorted(r["event_id"] for r in rows(spark, tmp_path, CLEAN)) == ["e1", "e2", "e3"]
+    write_routed(judged(message(event_id="e4")), "q", 2, out, options)
+    assert [r["error"] for r in rows(spark, tmp_path, DEAD)] == ["late_event"]
+
+
+def test_compaction_is_safe_against_replays(spark, tmp_path, monkeypatch):
+    from farelens.sources import versions
+
+    out, options = str(tmp_path / "out"), StreamOptions()
+    create_stream_tables(spark, out)
+
+    def write(batch, query="q"):
+        lines = [message(event_id=f"{query}{batch}"), message(event_id=f"{query}{batch}-", event_time="2026-06-07T01:00:00+00:00"), f"junk {query}{batch}"]
+        write_routed(assign_route(validate_events(parse_events(spark.createDataFrame([(x,) for x in lines], "value string")))), query, batch, out, options)
+
+    def content():
+        keys = {CLEAN: "event_id", DEAD: "value"}
+        return {t: sorted(r[k] for r in rows(spark, tmp_path, t)) for t, k in keys.items()}
+
+    for k in range(4):
+        write(k)
+    write(0, "other")
+    before = content()
+    assert len(before[CLEAN]) == 10 and len(before[DEAD]) == 5
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            compact_stream(spark, out, CLEAN)
+    assert content() == before
+    for table in (CLEAN, DEAD):
+        assert compact_stream(spark, out, table) > 0
+        assert content() == before
+    write(3)  # the newest batch is replayed after compaction
+    assert content() == before
+    for table in (CLEAN, DEAD):
+        assert remove_covered(spark, out, table) > 0 == remove_covered(spark, out, table)
+    assert content() == before
+    days = list((tmp_path / "out" / CLEAN).glob("event_date=*"))
+    assert all(len(list(d.glob("query_id=*/batch_id=*"))) <= 2 for d in days)  # one a query
+    write(4)
+    compact_stream(spark, out, CLEAN)
+    after = content()
+    assert len(after[CLEAN]) == 12 and compact_stream(spark, out, CLEAN) == 0
+    some = read_stream_table(spark, out, CLEAN, ["2026-06-07", "2020-01-01"])
+    assert {r["event_id"] for r in some.collect()} == {x for x in after[CLEAN] if x.endswith("-")}
+
+
 @pytest.mark.parametrize("dedupe", [None, "table"])
 def test_replay_of_a_batch_changes_nothing(spark, tmp_path, dedupe):
     out = str(tmp_path / "out")

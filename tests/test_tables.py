@@ -3,8 +3,10 @@ import shutil
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from farelens.session import broadcast_if_bounded, shared_dir
+from farelens.sources import versions
 from farelens.sources.readers import read_trips, read_trips_dir, read_zones
 from farelens.sources.schemas import RAW_TRIP, RAW_ZONE, select_to_schema
 from farelens.sources.tables import (
@@ -15,7 +17,6 @@ from farelens.sources.tables import (
     replace_partitions,
     replace_period,
     table_exists,
-    same_partitions,
     upsert,
     write_mart,
 )
@@ -28,7 +29,7 @@ def kv(spark, *rows):
 
 
 def content(spark, path, schema=KV):
-    return sorted((r["id"], r["v"], r["p"]) for r in spark.read.schema(schema).parquet(path).collect())
+    return sorted((r["id"], r["v"], r["p"]) for r in read_table(spark, path, StructType.fromDDL(schema)).collect())
 
 
 def test_upsert_updates_inserts_and_keeps(spark, tmp_path):
@@ -43,9 +44,10 @@ def test_upsert_updates_inserts_and_keeps(spark, tmp_path):
 def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     path = tmp_path / "t"
     upsert(kv(spark, (1, "a", "x"), (3, "c", "y")), str(path), ["id"], "p")
-    before = sorted(f.name for f in (path / "p=y").iterdir())
+    _, before = versions.read_manifest(spark, str(path))
     upsert(kv(spark, (1, "A", "x")), str(path), ["id"], "p")
-    assert sorted(f.name for f in (path / "p=y").iterdir()) == before
+    _, after = versions.read_manifest(spark, str(path))
+    assert after["p=y"] == before["p=y"] and after["p=x"] != before["p=x"]
 
 
 def test_upsert_without_partitions(spark, tmp_path):
@@ -98,7 +100,7 @@ def test_upsert_null_keys_match_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(kv(spark, (None, "a", "x")), path, ["id"], "p")
     upsert(kv(spark, (None, "b", "x"), (None, "c", "x")), path, ["id"], "p")
-    assert spark.read.schema(KV).parquet(path).count() == 3
+    assert read_table(spark, path, StructType.fromDDL(KV)).count() == 3
 
 
 def test_replace_period_is_repeatable_and_can_empty(spark, tmp_path):
@@ -178,23 +180,66 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_upsert_reads_only_touched_folders(spark, tmp_path, capsys):
+def test_only_the_wanted_folders_are_read(spark, tmp_path):
     path = str(tmp_path / "t")
-    rows = kv(spark, (1, "a", "x"), (2, "b", "y"), (3, "c", None), (4, "d", "z"))
-    replace_partitions(rows, path, "p")
-    target = spark.read.schema(KV).parquet(path)
-    source = kv(spark, (9, "n", "x"), (8, "n", None))
-    for limit in (10, 1):
-        kept = same_partitions(target, source, "p", max_listed=limit)
-        assert sorted(r["id"] for r in kept.collect()) == [1, 3]
-    capsys.readouterr()
-    same_partitions(target, source, "p").explain("formatted")
-    filters = next(line for line in capsys.readouterr().out.splitlines() if line.startswith("PartitionFilters"))
-    assert "isnull(p" in filters and "x" in filters
+    upsert(kv(spark, (1, "a", "x"), (2, "b", "y"), (3, "c", None), (4, "d", "z")), path, ["id"], "p")
+    some = versions.read_versions(spark, path, StructType.fromDDL(KV), [versions.folder_name("p", v) for v in ("x", None, "absent")])
+    assert sorted(r["id"] for r in some.collect()) == [1, 3]
+    assert all("p=y" not in f and "p=z" not in f for f in some.inputFiles())
 
 
 def test_upsert_keeps_rows_without_partition_value(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(kv(spark, (1, "a", None), (2, "b", "x")), path, ["id"], "p")
     upsert(kv(spark, (3, "c", None), (1, "A", None)), path, ["id"], "p")
-    assert sorted((r["id"], r["v"]) for r in spark.read.schema(KV).parquet(path).collect()) == [(1, "A"), (2, "b"), (3, "c")]
+    got = read_table(spark, path, StructType.fromDDL(KV)).collect()
+    assert sorted((r["id"], r["v"], r["p"]) for r in got) == [(1, "A", None), (2, "b", "x"), (3, "c", None)]
+
+
+@pytest.mark.parametrize("step", ["in the write", "before the manifest", "before its rename"])
+def test_partitioned_upsert_cut_short_anywhere(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "t")
+    rows = [(1, "a", "x"), (2, "b", "y"), (3, "c", "z")]
+    upsert(kv(spark, *rows), path, ["id"], "p")
+    source = kv(spark, (1, "A", "x"), (2, "B", "y"), (9, "n", "w"))
+    want = [(1, "A", "x"), (2, "B", "y"), (3, "c", "z"), (9, "n", "w")]
+    with monkeypatch.context() as patch:
+        failing = source
+        if step == "in the write":
+            failing = source.withColumn("v", F.when(F.col("id") == 9, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+        elif step == "before the manifest":
+            patch.setattr(versions, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        else:
+
+            def half(fs, file, text):
+                whole(fs, file, text[: len(text) // 2])
+                raise RuntimeError("lost")
+
+            whole = versions._write_text
+            patch.setattr(versions, "_write_text", half)
+        with pytest.raises(Exception, match="lost"):
+            upsert(failing, path, ["id"], "p")
+    assert content(spark, path) == rows
+    for _ in range(2):
+        upsert(source, path, ["id"], "p")
+        assert content(spark, path) == want
+    assert versions.remove_unreferenced(spark, path, keep=1) >= 1
+    assert content(spark, path) == want
+    assert len(list((tmp_path / "t").glob("version=*"))) == len(set(versions.read_manifest(spark, path)[1].values()))
+
+
+def test_the_second_of_two_writers_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert(kv(spark, (1, "a", "x")), path, ["id"], "p")
+    number, manifest = versions.read_manifest(spark, path)
+    upsert(kv(spark, (2, "b", "y")), path, ["id"], "p")
+    with pytest.raises(versions.ConcurrentWriteError):
+        versions.commit(spark, path, number, manifest)
+    assert content(spark, path) == [(1, "a", "x"), (2, "b", "y")]
+
+
+def test_partition_values_that_folders_escape(spark, tmp_path):
+    path, odd = str(tmp_path / "t"), ["a/b", "x=y", "10:30", "50%", "ü ?", "__x"]
+    upsert(kv(spark, *[(k, "old", p) for k, p in enumerate(odd)]), path, ["id"], "p")
+    upsert(kv(spark, *[(k + 100, "new", p) for k, p in enumerate(odd)]), path, ["id"], "p")
+    assert content(spark, path) == sorted([(k, "old", p) for k, p in enumerate(odd)] + [(k + 100, "new", p) for k, p in enumerate(odd)])
