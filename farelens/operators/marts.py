@@ -4,6 +4,8 @@ Five marts sum and average the same measures over different keys. Trips are firs
 partial sums and counts (:func:`rollup_trips`); a mart adds partials up and divides at the end. A
 mart given trips reduces them at its own keys. To build several marts, reduce the trips once at
 ``MART_GRAIN``, store that, and give it to each mart: the trips are then read once for all of them.
+Partials of one period can be kept at each mart's keys (``PARTIALS``): a new or changed
+period then replaces its own partials, and a mart adds up those of all periods.
 """
 
 from __future__ import annotations
@@ -28,11 +30,13 @@ PAYMENT_KEYS = ("payment_type", "payment_label", "_data_source")
 ROUTE_KEYS = ("pu_location_id", "do_location_id", "_data_source")
 ZONE_NAMES = ("pickup_zone", "pickup_borough", "dropoff_zone", "dropoff_borough")
 MART_GRAIN = tuple(dict.fromkeys((*HOURLY_KEYS, *PAYMENT_KEYS, *ROUTE_KEYS, *ZONE_NAMES)))
+# Tables of partials, and the marts that are built from each.
+PARTIALS = {"daily": DAILY_KEYS, "hourly": HOURLY_KEYS, "payment": PAYMENT_KEYS, "route": (*ROUTE_KEYS, *ZONE_NAMES)}
 
 _ROWS = "rows_n"
 
 
-def _partial_names() -> list[str]:
+def partial_names() -> list[str]:
     return [_ROWS, *[f"sum_{m}" for m in MEASURES], *[f"n_{m}" for m in MEASURES]]
 
 
@@ -57,7 +61,7 @@ def _by(df: DataFrame, keys: Sequence[str], extra: Sequence[str] = ()) -> DataFr
         if not extra:
             return df
     return df.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in _partial_names()],
+        *[F.sum(c).alias(c) for c in partial_names()],
         *[F.any_value(c, True).alias(c) for c in extra],
     )
 
@@ -241,3 +245,10 @@ MARTS = {
     "route_performance_summary": route_performance_summary,
     "zone_performance_summary": zone_performance_summary,
 }
+PARTIALS_OF = {
+    "daily_trips_summary": "daily",
+    "hourly_demand_summary": "hourly",
+    "payment_behavior_summary": "payment",
+    "route_performance_summary": "route",
+    "zone_performance_summary": "route",
+}

@@ -16,9 +16,10 @@ from farelens.operators.routing import clean_trips, quarantine_trips, unrouted_t
 from farelens.operators.scorecard import dq_scorecard
 from farelens.operators.staging import for_period, stage_trips, stage_zones
 from farelens.session import materialize
-from farelens.sources.readers import read_trips, read_zones
+from farelens.sources.readers import load_schemas, read_trips, read_zones
 from farelens.sources.schemas import RAW_TRIP
 from farelens.sources.tables import LOAD_PERIOD, read_table, replace_period, upsert, write_mart
+from farelens.sources.versions import folder_name, is_versioned, replace_folders
 
 # Accepted codes of the staged trips.
 PAYMENT_TYPES = (1, 2, 3, 4)
@@ -67,9 +68,18 @@ def clean_suite() -> list[checks.Check]:
     return [checks.not_null("trip_id"), checks.unique("trip_id")]
 
 
+def quarantine_suite() -> list[checks.Check]:
+    return [checks.not_null("quarantine_reason")]
+
+
+def scorecard_suite() -> list[checks.Check]:
+    return [checks.not_null("rule_name")]
+
+
 def enriched_suite(zones: DataFrame) -> list[checks.Check]:
     return [
         *[checks.not_null(c) for c in ("trip_id", "vendor_id", "pu_location_id", "do_location_id")],
+        checks.unique("trip_id"),
         checks.relationship("pu_location_id", zones, "location_id"),
         checks.relationship("do_location_id", zones, "location_id"),
     ]
@@ -100,7 +110,12 @@ def comparison_suite() -> list[checks.Check]:
 
 
 def load_raw(spark: SparkSession, warehouse: Warehouse, period: str, *paths: str) -> None:
-    """Load one month's files into the raw table, replacing an earlier load of that month."""
+    """Load one month's files into the raw table, replacing an earlier load of that month.
+
+    The schemas that the files had are kept beside the table, by load.
+    """
+    schemas = load_schemas(spark, *paths).withColumn(LOAD_PERIOD, F.lit(period))
+    replace_folders(schemas, warehouse.path("raw_taxi_trip_schemas"), LOAD_PERIOD, [folder_name(LOAD_PERIOD, period)], rebalance=False)
     raw = read_trips(spark, *paths)
     raw = raw.withColumn("source_period", derive.month_key(F.col("lpep_pickup_datetime")))
     replace_period(raw, warehouse.path("raw_taxi_trip"), period, ["source_period"])
@@ -150,9 +165,13 @@ def run_period(
     flagged = materialize(flagged, "flagged", "is_valid")
     check("flagged", flagged, flagged_suite())
 
-    upsert(dq_scorecard(flagged, period), warehouse.path("dq_check_result"), ["reporting_period", "rule_name"], "reporting_period")
-    quarantined = quarantine_trips(flagged)
+    card, quarantined = dq_scorecard(flagged, period), quarantine_trips(flagged)
+    upsert(card, warehouse.path("dq_check_result"), ["reporting_period", "rule_name"], "reporting_period")
     upsert(quarantined, warehouse.path("int_quarantine_trips"), ["trip_id", "dup_seq"], "source_period")
+    stored = read_table(spark, warehouse.path("dq_check_result"), card.schema)
+    check("scorecard", stored.filter(F.col("reporting_period") == period), scorecard_suite())
+    stored = read_table(spark, warehouse.path("int_quarantine_trips"), quarantined.schema)
+    check("quarantine", stored.filter(F.col("source_period") == period), quarantine_suite())
 
     clean = clean_trips(flagged)
     check("clean", clean, clean_suite())
@@ -161,7 +180,7 @@ def run_period(
     enriched = read_table(spark, warehouse.path("int_trips_enriched"), source.schema)
     check("enriched", enriched.filter(F.col("source_period") == period), enriched_suite(zones))
 
-    refresh_marts(enriched, warehouse)
+    refresh_marts(enriched, warehouse, period)
     for name, suite in mart_suites().items():
         check(name, spark.read.parquet(warehouse.path(name)), suite)
 
@@ -179,8 +198,40 @@ def refresh_comparison(enriched: DataFrame, stream_clean: DataFrame, warehouse:
     write_mart(marts.batch_streaming_comparison(enriched, stream_clean), warehouse.path("batch_streaming_comparison"))
 
 
-def refresh_marts(enriched: DataFrame, warehouse: Warehouse) -> None:
-    """Rebuild the five marts from one reduction of the trips; the trips are read once."""
-    partials = materialize(marts.rollup_trips(enriched), "mart-partials")
+def update_partials(enriched: DataFrame, warehouse: Warehouse, *periods: str) -> None:
+    """Replace the partials of ``periods`` by those of ``enriched``, which holds all trips of these and no others.
+
+    The trips are read once, for all tables of partials; a period without trips leaves none.
+    """
+    rollup = materialize(marts.rollup_trips(enriched, ("source_period", *marts.MART_GRAIN)), "mart-partials")
+    for name, keys in marts.PARTIALS.items():
+        part = rollup.groupBy("source_period", *keys).agg(*[F.sum(c).alias(c) for c in marts.partial_names()])
+        folders = [folder_name("source_period", p) for p in periods]
+        replace_folders(part, warehouse.path(f"partials_{name}"), "source_period", folders, rebalance=len(periods) > 1)
+
+
+def _partials_schema(enriched: DataFrame, keys: Iterable[str]) -> StructType:
+    plan = marts.rollup_trips(enriched, tuple(keys))
+    fields = [StructField(f.name, f.dataType) for f in plan.schema.fields]
+    return StructType([*fields, StructField("source_period", StringType())])
+
+
+def refresh_marts(enriched: DataFrame, warehouse: Warehouse, *periods: str) -> None:
+    """Bring the five marts up to date after ``periods`` of the enriched trips have changed; all periods if none is named.
+
+    Only trips of these periods are read: their partials are replaced, and the marts are built from the partials of all
+    periods.
+    """
+    if not periods or not is_versioned(enriched.sparkSession, warehouse.path("partials_daily")):
+        periods = tuple(r[0] for r in enriched.select("source_period").distinct().collect())  # one row a period
+    listed = F.col("source_period").isin([p for p in periods if p is not None])
+    chosen = listed | F.col("source_period").isNull() if None in periods else listed
+    update_partials(enriched.filter(chosen), warehouse, *periods)
     for name, build in marts.MARTS.items():
-        write_mart(build(partials), warehouse.path(name))
+        write_mart(build(read_partials(enriched, warehouse, marts.PARTIALS_OF[name])), warehouse.path(name))
+
+
+def read_partials(enriched: DataFrame, warehouse: Warehouse, name: str) -> DataFrame:
+    """The stored partials of all periods at the keys of ``name``."""
+    schema = _partials_schema(enriched, marts.PARTIALS[name])
+    return read_table(enriched.sparkSession, warehouse.path(f"partials_{name}"), schema)

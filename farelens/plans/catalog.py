@@ -13,7 +13,7 @@ from farelens.operators import audit, checks, marts, profile, rules, scorecard
 from farelens.operators.enrich import enrich_trips
 from farelens.operators.routing import clean_trips, quarantine_trips, unrouted_trips
 from farelens.operators.staging import for_period
-from farelens.plans.batch import staging_suite
+from farelens.plans.batch import Warehouse, read_partials, staging_suite, update_partials
 from farelens.plans.driver_tables import (
     UNKNOWN_NATIONS,
     event_messages,
@@ -24,8 +24,8 @@ from farelens.plans.driver_tables import (
     table,
 )
 from farelens.session import fresh_path, materialize, use_utc
-from farelens.sources.readers import read_event_stream, read_zones
-from farelens.sources.tables import LOAD_PERIOD, read_table, replace_partitions, replace_period, upsert
+from farelens.sources.readers import read_event_stream, read_trips, read_zones
+from farelens.sources.tables import LOAD_PERIOD, read_table, replace_partitions, replace_period, upsert, write_mart
 from farelens.streaming.events import CLEAN, DEAD, QUARANTINE
 from farelens.streaming.job import LATE, StreamOptions, run_stream
 from farelens.streaming.storage import compact_stream, read_stream_table
@@ -146,6 +146,54 @@ def _zones_csv(spark: SparkSession, d: str) -> DataFrame:
     return read_zones(spark, path)
 
 
+def _trips_files(spark: SparkSession, d: str) -> DataFrame:
+    """The trips as files of three schemas, by year: one without the late fee and with floating counts, one narrower."""
+    path, trips = fresh_path(spark, "trip-files"), raw_trips(spark, d)
+    year = F.year("lpep_pickup_datetime")
+    old = trips.filter(year < 1995).drop("cbd_congestion_fee").withColumn("passenger_count", F.col("passenger_count").cast("double"))
+    middle = trips.filter((year >= 1995) & (year < 1997)).withColumn("VendorID", F.col("VendorID").cast("int")).drop("ehail_fee")
+    for name, part in (("a", old), ("b", middle), ("c", trips.filter(year >= 1997))):
+        part.write.parquet(f"{path}/{name}")
+    return _present(read_trips(spark, *[f"{path}/{name}" for name in "abc"]))
+
+
+def _unmatched_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Checks of both severities, passed and failed."""
+    suite = [
+        checks.not_null("vendor_id", severity="warn"),
+        checks.not_null("rate_code_id", severity="warn"),
+        checks.not_null("trip_distance"),
+        checks.accepted_values("payment_type", (1, 2, 3, 4), severity="warn"),
+        checks.unique("vendor_id", "pickup_datetime", severity="warn"),
+        checks.relationship("pu_location_id", _named_zones(spark, d), "location_id", severity="warn"),
+    ]
+    return checks.run_checks(staged_trips(spark, d), suite)
+
+
+def _write_mart(spark: SparkSession, d: str) -> DataFrame:
+    """A mart written over an older one of other rows, and read back."""
+    path, mart = fresh_path(spark, "mart"), marts.daily_trips_summary(_enriched(spark, d))
+    write_mart(mart.limit(3), path)
+    write_mart(mart, path)
+    return _rounded(_present(read_table(spark, path, mart.schema)))
+
+
+def _incremental_mart(name: str) -> Query:
+    """The mart from stored partials: of all months, then of some months whose trips had been left out at first."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        enriched = materialize(_enriched(spark, d), "enriched-trips")
+        warehouse = Warehouse(fresh_path(spark, "warehouse"))
+        months = [r[0] for r in enriched.select("source_period").distinct().collect()]
+        late = sorted(months)[::12]
+        update_partials(enriched.filter(~F.col("source_period").isin(late) | (F.col("vendor_id") < 3)), warehouse, *months)
+        update_partials(enriched.filter(F.col("source_period").isin(late)), warehouse, *late)
+        partials = read_partials(enriched, warehouse, marts.PARTIALS_OF[name])
+        return _rounded(_present(marts.MARTS[name](partials)), tip_rate=6)
+
+    return query
+
+
 def _order_trips(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "orders").select(
         F.col("o_orderkey").alias("trip_id"),
@@ -349,6 +397,10 @@ def _registered() -> dict[str, Query]:
             staged_trips(spark, d), "pu_location_id", _named_zones(spark, d), "location_id"
         ),
         "run_checks": lambda spark, d: checks.run_checks(staged_trips(spark, d), staging_suite(_named_zones(spark, d))),
+        "run_checks_warn": _unmatched_checks,
+        "read_trips_files": _trips_files,
+        "write_mart": _write_mart,
+        **{f"incremental_{name}": _incremental_mart(name) for name in ("hourly_demand_summary", "zone_performance_summary")},
         "upsert_trips": _upsert,
         "replace_period": _replace_period,
         "stream_clean": _stream_table(CLEAN, CLEAN_OUT),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -13,25 +14,52 @@ from pyspark.sql.types import StructType
 from farelens.sources.schemas import RAW_TRIP, RAW_ZONE, select_to_schema
 
 
+#: Spark's condition where the schemas of files do not merge.
+UNMERGEABLE = "[CANNOT_MERGE_SCHEMAS]"
+
+
+def schema_groups(spark: SparkSession, files: Sequence[str]) -> dict[str, list[str]]:
+    """Files by schema (as JSON) under which they can be read together.
+
+    Spark merges the footers of many files in one job on the executors. Files whose types do not merge are halved, so
+    that a few changes of schema in a long row of months take a few jobs for each change, not one for each file.
+    """
+    try:
+        return {spark.read.option("mergeSchema", True).parquet(*files).schema.json(): list(files)}
+    except Exception as err:  # the executors' refusal comes as a plain Java error
+        if len(files) == 1 or UNMERGEABLE not in str(err):
+            raise
+    groups: dict[str, list[str]] = {}
+    for half in (files[: len(files) // 2], files[len(files) // 2 :]):
+        for schema, some in schema_groups(spark, half).items():
+            groups.setdefault(schema, []).extend(some)
+    return groups
+
+
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     """Monthly Parquet files or folders of them, conformed to the 21-column raw schema.
 
-    Months differ: a later one has a column more, or whole numbers where another has floating ones. Files of
-    one schema are read together by that schema, and each set is conformed before they are united, so that no
-    column of any file is lost.
+    Months differ: a later one has a column more, or whole numbers where another has floating ones. Files whose
+    schemas merge are read together; each group is conformed before they are united, so that no column of any file
+    is lost.
     """
-    by_schema: dict[str, list[str]] = {}
-    for file in spark.read.parquet(*paths).inputFiles():
-        by_schema.setdefault(spark.read.parquet(file).schema.json(), []).append(file)
+    files = sorted(spark.read.parquet(*paths).inputFiles())
+    if not files:
+        return select_to_schema(spark.read.parquet(*paths), RAW_TRIP)
     parts = [
-        select_to_schema(spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*files), RAW_TRIP)
-        for schema, files in by_schema.items()
+        select_to_schema(spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(*some), RAW_TRIP)
+        for schema, some in schema_groups(spark, files).items()
     ]
-    if not parts:
-        return select_to_schema(spark.read.parquet(*paths), RAW_TRIP)
     return reduce(DataFrame.unionByName, parts)
 
 
+def load_schemas(spark: SparkSession, *paths: str) -> DataFrame:
+    """``schema`` (as DDL) and ``n_files`` of the groups in which the files of a load are read: its entry in a catalogue."""
+    groups = schema_groups(spark, sorted(spark.read.parquet(*paths).inputFiles()))
+    rows = [(StructType.fromJson(json.loads(schema)).simpleString(), len(files)) for schema, files in groups.items()]
+    return spark.createDataFrame(sorted(rows), "schema string, n_files bigint")
+
+
 def read_trips_dir(spark: SparkSession, folder: str) -> DataFrame:
     """All Parquet files of a folder as one frame; fails if there are none."""
     try:

@@ -67,6 +67,25 @@ def test_two_periods_and_a_repeated_run(spark, place):
     assert read_raw(spark, Warehouse(f"{place}/wh")).filter("source_period = '2026-03'").count() == 1
 
 
+def test_marts_of_one_period_at_a_time_equal_a_full_rebuild(spark, place):
+    from farelens.plans.batch import refresh_marts
+    from farelens.sources.tables import read_table
+
+    run(spark, place, "2026-04", "april")
+    run(spark, place, "2026-05", "may")
+    trips(spark, *APRIL[:3]).write.parquet(str(place / "fewer"))
+    run(spark, place, "2026-04", "fewer")
+    period_by_period = tables(spark, place)
+    warehouse = Warehouse(f"{place}/wh")
+    _, before = versions.read_manifest(spark, warehouse.path("partials_daily"))
+    assert sorted(before) == ["source_period=2026-04", "source_period=2026-05"]
+    enriched = stored(spark, place, "int_trips_enriched")
+    refresh_marts(enriched, warehouse)
+    assert tables(spark, place) == period_by_period
+    schemas = stored(spark, place, "raw_taxi_trip_schemas")
+    assert sorted(str(r["load_period"]) for r in schemas.collect()) == ["2026-04", "2026-05"]
+
+
 def test_a_failed_check_stops_the_run(spark, place):
     bad = trips(spark, {}, {**at(2, 2), "trip_type": 3})
     bad.write.parquet(str(place / "bad"))

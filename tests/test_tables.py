@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from farelens.session import broadcast_if_bounded, shared_dir
 from farelens.sources import versions
-from farelens.sources.readers import read_trips, read_trips_dir, read_zones
+from farelens.sources.readers import load_schemas, read_trips, read_trips_dir, read_zones, schema_groups
 from farelens.sources.schemas import RAW_TRIP, RAW_ZONE, select_to_schema
 from farelens.sources.tables import (
     LOAD_PERIOD,
@@ -88,6 +88,21 @@ def test_months_of_different_schemas_lose_no_column(spark, tmp_path):
         assert [str(r) for r in rows] == ["(1, 2.5, None)", "(2, 3.0, 0.75)"]
 
 
+def test_schema_groups_take_few_jobs(spark, tmp_path, monkeypatch):
+    """Nine months, of which the middle three have another type and a column more."""
+    for k in range(9):
+        kind = "double" if 3 <= k < 6 else "bigint"
+        spark.range(2).select(F.col("id").cast(kind).alias("VendorID"), *([F.lit(1.5).alias("extra")] if k > 4 else [])).coalesce(1).write.parquet(str(tmp_path / f"m{k}"))
+    files = sorted(read_trips(spark, *[str(tmp_path / f"m{k}") for k in range(9)]).inputFiles())
+    groups = schema_groups(spark, files)
+    assert sorted(f for some in groups.values() for f in some) == files
+    assert all(len({"/m3" <= f[f.index("/m") :] < "/m6" for f in some}) == 1 for some in groups.values()) and len(groups) <= 4
+    got = read_trips(spark, *[str(tmp_path / f"m{k}") for k in range(9)])
+    assert got.agg(F.sum("VendorID"), F.count("extra")).first()[:2] == (9, 8)
+    catalogue = load_schemas(spark, str(tmp_path / "m0"), str(tmp_path / "m4"))
+    assert sorted(r["n_files"] for r in catalogue.collect()) == [1, 1]
+
+
 def test_upsert_refuses_repeated_keys_and_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert(kv(spark, (1, "a", "x")), path, ["id"], "p")
