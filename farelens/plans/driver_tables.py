@@ -1,8 +1,8 @@
 """Trips, zones and event messages derived from the order and event tables.
 
 Every order line is a trip: order date and order number give the pickup, quantity and part the
-length, customer and supplier nation the two locations. A line with the highest tax and discount
-was submitted twice. Every event is a message; an ``error`` event is a message that is not JSON.
+length, customer and supplier nation the two locations. A returned line is a refund, with negative amounts; some short
+ones are void, without any length. A line with the highest tax and discount was submitted twice. Every event is a message; an ``error`` event is a message that is not JSON.
 """
 
 from __future__ import annotations
@@ -48,32 +48,37 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         "explode(if(l_tax = 0.08 and l_discount = 0.1, array(1, 2), array(1))) as submission",
         "timestampadd(MINUTE, cast(l_orderkey % 1440 as int), o_orderdate) as pickup",
-        "if(l_linestatus = 'F' and l_returnflag = 'A', -l_extendedprice, l_extendedprice) as fare",
-        "floor(l_extendedprice * l_tax * 100 + 0.5D) / 100 as surcharge",
-        "floor(l_extendedprice * l_discount * 100 + 0.5D) / 100 as tip",
-        "if(l_linenumber = 1, null, 2.75D) as congestion",
-        "if(l_linenumber = 2, 0.75D, 0.0D) as cbd",
+        "if(l_linestatus = 'F' and l_returnflag = 'A', -1.0D, 1.0D) as sign",
+        "l_quantity = 2 and l_partkey % 3 = 0 as void",
+    ).selectExpr(
+        "*",
+        "sign * l_extendedprice as fare",
+        "sign * floor(l_extendedprice * l_tax * 100 + 0.5D) / 100 as surcharge",
+        "sign * floor(l_extendedprice * l_discount * 100 + 0.5D) / 100 as tip",
+        "if(l_linenumber = 1, null, sign * 2.75D) as congestion",
+        "if(l_linenumber = 2, sign * 0.75D, 0.0D) as cbd",
+        "if(l_partkey % 10 = 0, sign * 5.0D, 0.0D) as tolls",
     )
     return submitted.selectExpr(
         "cast(l_linenumber as bigint) as VendorID",
         "pickup as lpep_pickup_datetime",
-        "timestampadd(SECOND, cast(cast(l_quantity as int) * 60 - 300 + l_partkey % 60 as int), pickup)"
+        "timestampadd(SECOND, case when void then 0 when l_quantity = 2 and l_partkey % 3 = 1 then 90 else cast(cast(l_quantity as int) * 60 - 300 + l_partkey % 60 as int) end, pickup)"
         " as lpep_dropoff_datetime",
         "case l_returnflag when 'N' then 'N' when 'R' then 'Y' end as store_and_fwd_flag",
         "nullif(l_partkey % 7, 6) as RatecodeID",
         "cast(c_nationkey as bigint) as PULocationID",
         "cast(s_nationkey as bigint) as DOLocationID",
-        "cast(l_quantity as bigint) % 10 as passenger_count",
+        "if(l_partkey % 50 = 7, -1L, cast(l_quantity as bigint) % 10) as passenger_count",
         "nullif(l_quantity, 49) - 2 as trip_distance",
         "fare as fare_amount",
         "surcharge as extra",
-        "0.5D as mta_tax",
+        "sign * 0.5D as mta_tax",
         "tip as tip_amount",
-        "0.0D as tolls_amount",
+        "tolls as tolls_amount",
         "cast(null as double) as ehail_fee",
-        "1.0D as improvement_surcharge",
-        "floor((fare + surcharge + 0.5D + tip + 0.0D + 1.0D + coalesce(congestion, 0.0D) + cbd"
-        " + if(l_linenumber = 3, 1.0D, 0.0D)) * 100 + 0.5D) / 100 as total_amount",
+        "sign * 1.0D as improvement_surcharge",
+        "if(void and l_partkey % 2 = 0, 0.0D, floor((fare + surcharge + sign * 0.5D + tip + tolls + sign * 1.0D + coalesce(congestion, 0.0D) + cbd"
+        " + if(l_linenumber = 3, 1.0D, 0.0D)) * 100 + 0.5D) / 100) as total_amount",
         "cast(substring(o_orderpriority, 1, 1) as bigint) as payment_type",
         "cast(l_linenumber % 2 + 1 as bigint) as trip_type",
         "congestion as congestion_surcharge",
