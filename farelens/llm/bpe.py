@@ -244,7 +244,7 @@ class WordEncoder(Encoder):
 
 def _counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for block in text_blocks(batch.column("text"), NOT_SPACE, lower=False, limit=8_000_000):
+        for block in text_blocks(batch.column("text"), NOT_SPACE, lower=False, limit=2_000_000):
             starts, ends, hashes = WordEncoder.words(block)
             if not len(starts):
                 continue
@@ -303,24 +303,29 @@ def _binaries(parts: list[bytes | np.ndarray]) -> pa.Array:
     return pa.array([bytes(p) for p in parts], pa.binary())
 
 
-def encode(docs: DataFrame, vocabulary: str = VOCABULARY, table: Broadcast | None = None) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str = VOCABULARY, table: Broadcast | None = None, decoded: bool = False) -> DataFrame:
     """``doc_id`` and ``ids`` (little-endian unsigned 32-bit) of the whole text of every row of ``docs``.
 
-    A null text is empty and has no ids; so has a text without characters. Repeated rows and repeated or null doc_ids
-    stay rows of their own; other columns are ignored; an empty table gives no rows. The ids are the same with and
-    without a ``table``, which only saves work.
+    With ``decoded``, the bytes that the ids stand for are added by the same task, from the ids alone. A null text is
+    empty and has no ids; so has a text without characters. Repeated rows and repeated or null doc_ids stay rows of
+    their own; other columns are ignored; an empty table gives no rows. The ids are the same with and without a
+    ``table``, which only saves work.
     """
     small_batches(docs.sparkSession)
+    names = ["doc_id", "ids", *(["decoded"] if decoded else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in batches:
             encoder = encoder or WordEncoder(vocabulary, table.value if table else None)
             ids = [x.astype("<u4").tobytes() for x in encoder.encode(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _binaries(ids)], ["doc_id", "ids"])
+            columns = [batch.column("doc_id"), _binaries(ids)]
+            if decoded:
+                columns.append(_binaries([encoder.fast.decode(np.frombuffer(x, "<u4")) for x in ids]))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return spread(docs, docs).mapInArrow(run, "doc_id bigint, ids binary")
+    return spread(docs, docs).mapInArrow(run, "doc_id bigint, ids binary" + (", decoded binary" if decoded else ""))
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
@@ -340,7 +345,7 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text decoded from them, as digests."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     table = spark.sparkContext.broadcast(word_table(docs))
-    decoded = decode(encode(docs, table=table))
+    decoded = encode(docs, table=table, decoded=True)
     n_tokens = (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens")
     return decoded.select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

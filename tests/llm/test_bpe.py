@@ -76,7 +76,9 @@ def test_documents(spark, library):
     assert 0 < len(table.keys) <= 50
     want = sorted((k if k % 9 else -1, np.array(library.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for k, t in enumerate(texts))
     for given in (None, spark.sparkContext.broadcast(table)):
-        got = bpe.decode(bpe.encode(docs, table=given)).collect()
+        both = bpe.encode(docs, table=given, decoded=True)
+        assert bpe.decode(bpe.encode(docs, table=given)).exceptAll(both).count() == 0
+        got = both.collect()
         assert sorted((-1 if r["doc_id"] is None else r["doc_id"], bytes(r["ids"]), bytes(r["decoded"])) for r in got) == want
     assert bpe.encode(docs.filter("doc_id < 0")).count() == 0
     assert len(bpe.word_table(docs.filter("doc_id < 0")).keys) == 0
