@@ -299,9 +299,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without any benchmark phrase stay; all columns stay."""
-    found = phrase_hits(build_index(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    """Pipeline stage: documents without any benchmark phrase stay; all columns stay.
+
+    Rows without a doc_id are searched too, by their texts: they stay if their text is clean. An empty table gives no
+    rows.
+    """
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = phrase_hits(build_index(docs), benchmark)
+    clean = docs.filter("doc_id is not null").join(found.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    nameless = docs.filter("doc_id is null")
+    if nameless.isEmpty():
+        return clean
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    bad = phrase_hits(build_index(nameless.select(text.alias("doc_id"), "text").dropDuplicates(["doc_id"])), benchmark)
+    marked = nameless.withColumn("_text", text).join(bad.select(F.col("doc_id").alias("_text")), "_text", "left_anti")
+    return clean.unionByName(marked.select(*docs.columns))
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,7 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2, per_c
 
     # One task learns from the bounded sample; the texts do not come to the driver.
     one = sample.select("doc_id", "text", "label").repartition(1).sortWithinPartitions("doc_id", "text")
-    weights, bias, slope, shift = one.mapInArrow(run, "weights binary, bias double, slope double, shift double").first()
+    learnt = one.mapInArrow(run, "weights binary, bias double, slope double, shift double").first()
+    if learnt is None:  # no labelled text, no task
+        return train([], np.zeros(0, np.int64), sizes)
+    weights, bias, slope, shift = learnt
     return Model(np.frombuffer(weights, np.float32), bias, slope, shift)
 
 
