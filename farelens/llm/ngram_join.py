@@ -14,7 +14,7 @@ their members, and groups of other blocks that may link with a member visit the
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
+from math import ceil, log2
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +28,10 @@ from farelens.session import broadcast_if_bounded, materialize, spread
 #: The most frequent shingles, at most so many, go to every task (16 bytes each) to be ordered last.
 MAX_FREQUENT = 500_000
 FREQUENT = 8
-RANGE_BITS = 6
-RANGES = 1 << RANGE_BITS
+#: Shingles are counted in ranges of about so many bytes of text, which a task folds one after another; the number of
+#: ranges is a power of two, and the number of tasks is Spark's.
+RANGE_BYTES = 8_000_000
+LEAST_RANGE_BITS, MOST_RANGE_BITS = 5, 18
 #: Size of the filter of repeated shingles that goes to every task: 2**27 bits are 16 MB.
 FILTER_BITS = 27
 MAX_CANDIDATES = 1_000_000
@@ -66,13 +68,21 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(blob, np.uint32 if blob[:1] == b"4" else np.uint64, offset=1), dtype=np.uint64)
 
 
-def _counted(n: int):
+def range_bits(docs: DataFrame) -> int:
+    """Leading bits of a shingle that name its range, by the size of all texts."""
+    total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 1
+    return min(MOST_RANGE_BITS, max(LEAST_RANGE_BITS, ceil(log2(total / RANGE_BYTES))))
+
+
+def _counted(n: int, range_bits: int):
+    ranges = 1 << range_bits
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush():
             values = np.sort(np.concatenate(held)) >> _U(20)
-            part = values >> _U(44 - RANGE_BITS)
-            cuts = np.searchsorted(part, np.arange(RANGES + 1))
-            rows = [(r, _pack(values[cuts[r] : cuts[r + 1]])) for r in range(RANGES) if cuts[r] < cuts[r + 1]]
+            part = values >> _U(44 - range_bits)
+            cuts = np.searchsorted(part, np.arange(ranges + 1))
+            rows = [(r, _pack(values[cuts[r] : cuts[r + 1]])) for r in np.flatnonzero(np.diff(cuts)).tolist()]
             return pa.RecordBatch.from_arrays(
                 [pa.array([r for r, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["part", "packed"]
             )
@@ -129,8 +139,8 @@ def shingle_order(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray, np.n
     All documents are counted. Only the order of shingles depends on the result, never which links are found.
     """
     spark = docs.sparkSession
-    packed = docs.select("text").mapInArrow(_counted(n), "part int, packed binary")
-    found = packed.repartition(RANGES, "part").sortWithinPartitions("part")
+    packed = docs.select("text").mapInArrow(_counted(n, range_bits(docs)), "part int, packed binary")
+    found = packed.repartition("part").sortWithinPartitions("part")
     found = found.mapInArrow(_repeated, "bits binary, frequent array<bigint>, counts array<bigint>")
     found = materialize(found, "shingle-order")
     pairs = found.select(F.explode(F.arrays_zip("frequent", "counts")).alias("p")).select("p.frequent", "p.counts")
