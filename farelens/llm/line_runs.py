@@ -10,13 +10,13 @@ array. The first suffix of an interval, by document and line, is the original, t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from farelens.session import materialize, spread
 
 MIN_LINES = 2
-#: Words of a line that the pipeline's stage counts as a run by itself, at least.
+#: Words of a line that the query and the pipeline's stage count as a run by itself, at least.
 LONG_LINE_WORDS = 20
 
 
@@ -118,42 +118,64 @@ def suffix_array(docs: DataFrame) -> DataFrame:
     return gathered.select("doc_id", "line", F.size("entries").alias("levels"), F.col("entries.name").alias("names"))
 
 
+def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """Suffixes of which a prefix stands earlier: ``doc_id``, ``line``, ``width`` (lines of the prefix), ``first_doc``, ``first_line``.
+
+    Prefix doubling: the names of level 0 stand for ``min_lines`` lines, those of each further level for twice as many,
+    and a round goes on with the documents that have a repeated name. Suffixes of equal names are an interval of common
+    prefixes; all but its first one, by document and line, are later copies of that. With ``min_words`` single lines of
+    so many words or more are an interval of their own.
+    """
+    table = materialize(line_table(docs, min_words), "line-names")
+    active = table.select("doc_id", window_names(F.col("names"), min_lines).alias("names"))
+    rows, out, width = None, None, min_lines
+    if min_words is not None and min_lines > 1:
+        single = table.select("doc_id", "names", F.explode("long").alias("line"))
+        rows = single.select("doc_id", "line", F.element_at("names", F.col("line") + 1).alias("name"), F.lit(1).alias("width"))
+    while True:
+        windows = active.select("doc_id", F.posexplode("names").alias("line", "name")).withColumn("width", F.lit(width))
+        windows = windows if rows is None else windows.unionByName(rows)
+        windows, rows = materialize(windows, "line-windows"), None
+        repeated = windows.join(_repeats(windows).drop("n"), "name").drop("name")
+        repeated = materialize(repeated, "line-intervals")
+        if repeated.isEmpty():
+            break
+        later = repeated.filter("not (doc_id = first_doc and line = first_line)")
+        out = later if out is None else out.unionByName(later)
+        live = repeated.filter(F.col("width") == width).select("doc_id").distinct()
+        names = _joined(F.col("names"), width)
+        active = materialize(active.join(live, "doc_id", "left_semi").withColumn("names", names).filter(F.size("names") > 0), "line-names")
+        width *= 2
+    if out is None:
+        return docs.sparkSession.createDataFrame([], "doc_id bigint, line int, width int, first_doc bigint, first_line int")
+    return out
+
+
 def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """``doc_id``, ``doomed`` (numbers of lines to delete), ``runs`` of documents with later copies of line runs.
 
-    A run is a maximal stretch of lines that are not blank, at least ``min_lines`` of them, whose every window of
-    ``min_lines`` lines stands earlier too (by doc_id, then line). With ``min_words`` a line of so many words or more
-    that stands earlier is a run by itself, whatever its neighbours. ``runs`` are structs of ``start`` and ``length``
-    in such lines, with ``from_doc`` and ``from_line`` of the earliest copy of its first window.
+    A run is a stretch of lines that are not blank, at least ``min_lines`` of them, that stands as a whole at one earlier
+    place (by doc_id, then line) and is part of no longer one; with ``min_words`` also one line of so many words or
+    more. Of each suffix the longest prefix counts that stands earlier, among those of ``min_lines`` times a power of two
+    lines; prefixes that touch and stand at one place without a shift make up a run. So parts that stand earlier still
+    elsewhere can be runs of their own, which overlap. ``runs`` are structs of ``start`` and ``length`` in such lines, with
+    ``from_doc`` and ``from_line`` of the earlier place.
     """
-    alone = min_words is not None and min_lines > 1
-    table = materialize(line_table(docs, min_words), "line-names") if alone else line_table(docs)
-    windows = table.select("doc_id", F.posexplode(window_names(F.col("names"), min_lines)).alias("line", "name")).withColumn("width", F.lit(min_lines))
-    if alone:
-        single = table.select("doc_id", "names", F.explode("long").alias("line"))
-        single = single.select("doc_id", "line", F.element_at("names", F.col("line") + 1).alias("name"), F.lit(1).alias("width"))
-        windows = windows.unionByName(single)
-    windows = materialize(windows, "line-windows")
-    repeats = _repeats(windows).filter("n > 1")
-    later = windows.join(repeats, "name").filter("not (doc_id = first_doc and line = first_line)")
-    # Of two windows at a line the longer one comes first.
-    window = F.struct("line", (-F.col("width")).alias("back"), F.col("first_doc").alias("from_doc"), F.col("first_line").alias("from_line"), "width")
-    covered = later.groupBy("doc_id").agg(F.array_sort(F.collect_list(window)).alias("w"))
-    # Windows of one run follow each other here; the earliest copy of a later one may stand in another document.
-    empty = F.array().cast("array<struct<start:int,length:int,from_doc:bigint,from_line:int>>")
-
-    def grow(runs, w):
-        last = F.element_at(runs, -1)
-        end = last["start"] + last["length"]
-        inside = F.coalesce((F.size(runs) > 0) & (w["line"] + w["width"] <= end), F.lit(False))
-        follows = F.coalesce((F.size(runs) > 0) & (w["line"] == end - min_lines + 1), F.lit(False))
-        longer = F.struct(last["start"].alias("start"), (w["line"] + w["width"] - last["start"]).alias("length"), last["from_doc"].alias("from_doc"), last["from_line"].alias("from_line"))
-        new = F.struct(w["line"].alias("start"), w["width"].alias("length"), w["from_doc"].alias("from_doc"), w["from_line"].alias("from_line"))
-        kept = F.slice(runs, F.lit(1), F.greatest(F.size(runs) - 1, F.lit(0)))
-        return F.when(inside, runs).when(follows, F.concat(kept, F.array(longer))).otherwise(F.concat(runs, F.array(new)))
-
-    lines = F.array_distinct(F.flatten(F.transform("w", lambda w: F.sequence(w["line"], w["line"] + (w["width"] - 1)))))
-    return covered.select("doc_id", lines.alias("doomed"), F.aggregate("w", empty, grow).alias("runs"))
+    found = later_copies(docs, min_lines, min_words)
+    longest = found.groupBy("doc_id", "line").agg(F.max_by(F.struct("width", "first_doc", "first_line"), "width").alias("p"))
+    placed = longest.select("doc_id", "line", (F.col("line") + F.col("p.width")).alias("end"), F.col("p.first_doc").alias("from_doc"), (F.col("p.first_line") - F.col("line")).alias("shift"))
+    # All windows are within one document, which is one text.
+    place = Window.partitionBy("doc_id", "from_doc", "shift").orderBy("line")
+    before = F.max("end").over(place.rowsBetween(Window.unboundedPreceding, -1))
+    islands = placed.withColumn("new", F.coalesce((F.col("line") > before).cast("int"), F.lit(1)))
+    islands = islands.withColumn("island", F.sum("new").over(place.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = islands.groupBy("doc_id", "from_doc", "shift", "island").agg(F.min("line").alias("start"), F.max("end").alias("end"))
+    inside = F.max("end").over(Window.partitionBy("doc_id").orderBy("start", F.desc("end"), "from_doc", "shift").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.withColumn("inside", F.coalesce(inside >= F.col("end"), F.lit(False))).filter("not inside")
+    run = F.struct("start", (F.col("end") - F.col("start")).alias("length"), "from_doc", (F.col("start") + F.col("shift")).alias("from_line"))
+    listed = runs.groupBy("doc_id").agg(F.array_sort(F.collect_list(run)).alias("runs"))
+    lines = F.array_distinct(F.flatten(F.transform("runs", lambda r: F.sequence(r["start"], r["start"] + r["length"] - 1))))
+    return listed.select("doc_id", lines.alias("doomed"), "runs")
 
 
 def drop_repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
@@ -199,8 +221,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is left of every document, with the number of lines and of maximal copied runs."""
-    out = drop_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    """What is left of every document, with the numbers of its lines and of those deleted."""
+    out = drop_repeated_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), min_words=LONG_LINE_WORDS)
     return out.select("doc_id", "text", "n_lines", "n_deleted")
 
 
@@ -214,7 +236,14 @@ with lines as (
 ),
 pairs as (select a.doc_id, a.r, a.line as l1, b.line as l2 from lines a join lines b on a.doc_id = b.doc_id and b.r = a.r + 1),
 numbered as (select doc_id, r, row_number() over (partition by l1, l2 order by doc_id, r) as copy from pairs),
-doomed as (select doc_id, r from numbered where copy > 1 union select doc_id, r + 1 from numbered where copy > 1),
+singles as (
+    select doc_id, r, row_number() over (partition by line order by doc_id, r) as copy from lines
+    where len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 20
+),
+doomed as (
+    select doc_id, r from numbered where copy > 1 union select doc_id, r + 1 from numbered where copy > 1
+    union select doc_id, r from singles where copy > 1
+),
 gone as (select doc_id, list(k) as ks, count(*) as n_deleted from lines join doomed using (doc_id, r) group by doc_id),
 sizes as (select doc_id, count(*) as n_lines from lines group by doc_id)
 select doc_id, coalesce(n_lines, 0) as n_lines, coalesce(n_deleted, 0) as n_deleted,
