@@ -81,6 +81,44 @@ def test_fuzzy_short_passages_are_seeded(spark):
     assert {x[:2] for x in _passage_pairs(spark, texts)} == want
 
 
+def test_passages_with_changes_at_random_places_are_found(spark):
+    fresh, rng = fresh_words(6), random.Random(6)
+    for changed in (10, 12):  # of 60 words, the latter just at the least identity
+        texts = []
+        for k in range(60):
+            words = fresh(60)
+            places = set(rng.sample(range(60), changed))
+            edited = [fresh(1)[0] if i in places else x for i, x in enumerate(words)]
+            texts += [(2 * k, [*fresh(80), *words, *fresh(80)]), (2 * k + 1, [*fresh(80), *edited, *fresh(80)])]
+        got = _passage_pairs(spark, texts)
+        assert {x[:2] for x in got} <= {(2 * k + 1, 2 * k) for k in range(60)}
+        assert len({x[:2] for x in got}) >= 54
+
+
+def test_copies_are_one_passage_from_the_first_text(spark):
+    fresh = fresh_words(7)
+    shared, short = fresh(55), fresh(49)
+    whole = [*fresh(10), *shared, *fresh(10)]
+    texts = [(1, shared), (4, whole), (5, whole), (6, whole), (7, short), (8, short), (9, [*fresh(3), *whole])]
+    assert _passage_pairs(spark, texts) == {(4, 1, 10, 65), (5, 4, 0, 75), (6, 4, 0, 75), (9, 4, 3, 78), (9, 1, 13, 68)}
+
+
+def test_seeds_over_many_partitions_keep_their_links(spark):
+    fresh = fresh_words(8)
+    shared = fresh(52)
+    rows = [(k, " ".join([*fresh(2), *shared, *fresh(2)])) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(16)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "150")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r["doc_id"], r["from_doc"]) for r in passages.repeated_passages(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {(k, 0) for k in range(1, 400)} <= got and {(k, k - 1) for k in range(2, 400)} <= got
+
+
 def test_rows_without_id_stay_in_the_ngram_stage(spark):
     text = " ".join(fresh_words(5)(30))
     df = spark.createDataFrame([(1, text), (2, text), (None, text), (None, None)], "doc_id bigint, text string")
