@@ -34,6 +34,7 @@ def quarantine_trips(flagged: DataFrame, checked_at: Column | None = None) -> Da
 
     The order is fare, then distance, then every other column, so the numbers do not change between runs. A key
     of one row gets 1; the keys of several are found by their counts and numbered over ranges, whatever their size.
+    ``flagged`` is read three times, so it should be stored, not a plan that joins and flags the trips.
     """
     columns = [c for c in flagged.columns if c != "n_copies"]
     invalid = flagged.filter("is_valid = false").select(*columns)
