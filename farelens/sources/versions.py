@@ -1,8 +1,8 @@
 """Partitioned tables with versions: new partition folders are written beside the old ones, one rename commits them.
 
 A table holds data folders ``version=<id>/<column>=<value>`` and numbered manifests in ``_manifests``; a manifest names
-the version of every partition. A write adds one version with the partitions it replaces, then a manifest. Until that
-one file has its name, readers see the table as it was; from then on, as it is now, in all partitions at once. A write
+the version of every partition, or several, comma-joined, where rows were added. A write adds one version with the
+partitions it replaces or adds to, then a manifest. Until that one file has its name, readers see the table as it was; from then on, as it is now, in all partitions at once. A write
 that is cut short anywhere leaves files that no manifest names; it can simply be run again. Of two writers that start
 from the same manifest, the second one fails.
 
@@ -18,6 +18,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from farelens.session import empty_frame
+
 MANIFESTS = "_manifests"
 #: The folder of rows without a partition value, and the characters written as %XX in folder names, besides
 #: control characters.
@@ -83,8 +85,8 @@ def read_versions(spark: SparkSession, path: str, schema: StructType, folders: I
     _, manifest = read_manifest(spark, path)
     chosen = manifest if folders is None else {f: manifest[f] for f in folders if f in manifest}
     if not chosen:
-        return spark.createDataFrame([], schema)
-    paths = [f"{path}/version={version}/{folder}" for folder, version in sorted(chosen.items())]
+        return empty_frame(spark, schema)
+    paths = [f"{path}/version={version}/{folder}" for folder, versions in sorted(chosen.items()) for version in versions.split(",")]
     return spark.read.schema(schema).option("basePath", path).parquet(*paths).select(*schema.fieldNames())
 
 
@@ -119,21 +121,29 @@ def commit(spark: SparkSession, path: str, number: int, manifest: dict[str, str]
 
 
 def replace_folders(
-    df: DataFrame, path: str, column: str, replaced: Iterable[str] | None = None, rebalance: bool = True, notes: dict[str, str] | None = None
+    df: DataFrame,
+    path: str,
+    column: str,
+    replaced: Iterable[str] | None = None,
+    rebalance: bool = True,
+    notes: dict[str, str] | None = None,
+    added: Iterable[str] = (),
 ) -> None:
     """Replace partition folders by the rows of ``df``, which may read the table, in one commit.
 
     ``replaced`` names the folders that ``df`` stands for; those it has no rows of are then gone, and others must not
-    occur in it. Without it, the folders that occur in ``df`` are replaced.
+    occur in it. Without it, the folders that occur in ``df`` are replaced. Folders that are ``added`` to keep the rows
+    they have.
     """
     spark = df.sparkSession
     number, manifest = read_manifest(spark, path)
     version, written = write_version(df, path, column, rebalance)
     if replaced is not None and not set(written) <= set(replaced):
         raise ValueError(f"rows of other partitions than those to be replaced: {sorted(set(written) - set(replaced))[:3]}")
-    kept = {f: v for f, v in manifest.items() if f not in set(replaced or ())}
+    kept = {f: v for f, v in manifest.items() if f not in set(replaced or ()) or f in set(added)}
+    new = {f: f"{kept[f]},{version}" if f in set(added) and f in kept else version for f in written}
     # Notes of other folders stay as they are.
-    commit(spark, path, number, kept | dict.fromkeys(written, version), (read_notes(spark, path) if notes else {}) | (notes or {}))
+    commit(spark, path, number, kept | new, (read_notes(spark, path) if notes else {}) | (notes or {}))
 
 
 def remove_unreferenced(spark: SparkSession, path: str, keep: int = 2) -> int:
@@ -142,7 +152,7 @@ def remove_unreferenced(spark: SparkSession, path: str, keep: int = 2) -> int:
     Not while another writer is at work: its version has no manifest yet.
     """
     names = _manifest_names(spark, path)
-    named = {v for name in names[-keep:] for v in _content(spark, path, name).values()}
+    named = {v for name in names[-keep:] for versions in _content(spark, path, name).values() for v in versions.split(",")}
     fs, folder = file_system(spark, path)
     gone = [n for n in _children(spark, path) if n.startswith("version=") and n.removeprefix("version=") not in named]
     for name in names[:-keep]:

@@ -17,9 +17,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
+from farelens.session import empty_frame
 from farelens.sources.schemas import DEAD_LETTER, STREAM_CLEAN, STREAM_QUARANTINE
 from farelens.sources.tables import ensure_table
-from farelens.sources.versions import file_system, folder_name, read_notes, read_versions, remove_unreferenced, replace_folders
+from farelens.sources.versions import (
+    file_system,
+    folder_name,
+    read_manifest,
+    read_notes,
+    read_versions,
+    remove_unreferenced,
+    replace_folders,
+)
 from farelens.streaming.events import CLEAN, DEAD, QUARANTINE
 
 SCHEMAS = {CLEAN: STREAM_CLEAN, QUARANTINE: STREAM_QUARANTINE, DEAD: DEAD_LETTER}
@@ -28,6 +37,8 @@ DAY = StructField("event_date", DateType())
 PARTITIONS = {CLEAN: [DAY, *WRITER], QUARANTINE: [DAY, *WRITER], DEAD: WRITER}
 #: Batches of one query whose dead letters are compacted together.
 BATCHES_TOGETHER = 1_000
+#: Compactions add their rows to a part until it has so many versions; then it is written anew as one.
+MOST_VERSIONS = 8
 
 
 def stored_schema(table: str) -> StructType:
@@ -56,7 +67,8 @@ def _covered(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
     """``part``, ``query``, ``upto``: the batches that compaction has taken over; as many rows as parts have queries."""
     notes = read_notes(spark, f"{out_dir}/{table}_compacted")
     rows = [(folder.split("=", 1)[1], query, upto) for folder, note in notes.items() for query, upto in json.loads(note).items()]
-    return spark.createDataFrame(rows, "part string, query string, upto bigint")
+    schema = StructType.fromDDL("part string, query string, upto bigint")
+    return spark.createDataFrame(rows, schema) if rows else empty_frame(spark, schema)
 
 
 def _plain(spark: SparkSession, out_dir: str, table: str, days: Iterable[str] | None) -> DataFrame:
@@ -66,7 +78,7 @@ def _plain(spark: SparkSession, out_dir: str, table: str, days: Iterable[str] |
     if days is not None:
         fs, folder = file_system(spark, root)
         paths = [p for p in (f"{root}/{folder_name('event_date', d)}" for d in days) if fs.exists(folder(p))]
-        rows = reader.parquet(*paths) if paths else spark.createDataFrame([], stored_schema(table))
+        rows = reader.parquet(*paths) if paths else empty_frame(spark, stored_schema(table))
     else:
         rows = reader.parquet(root)
     return rows.withColumn("part", _group(table))
@@ -89,9 +101,10 @@ def read_stream_table(spark: SparkSession, out_dir: str, table: str, days: Itera
 
 
 def compact_stream(spark: SparkSession, out_dir: str, table: str) -> int:
-    """Rewrite the rows of all batches but each query's newest, by part; the number of parts rewritten.
+    """Rewrite the rows of all batches but each query's newest, by part; the number of parts written to.
 
-    Parts without a batch that is not covered yet are left alone. Cut short anywhere, the table reads as before.
+    Parts without a batch that is not covered yet are left alone. Rows compacted before stay where they are, but for
+    parts of MOST_VERSIONS versions. Cut short anywhere, the table reads as before.
     """
     remove_covered(spark, out_dir, table)
     plain = _plain(spark, out_dir, table, None)
@@ -107,9 +120,11 @@ def compact_stream(spark: SparkSession, out_dir: str, table: str) -> int:
         folder = folder_name("part", r["part"])
         notes.setdefault(folder, json.loads(before.get(folder, "{}")))[r["query_id"]] = r["upto"]
     columns = _compacted_schema(table).fieldNames()
-    known = read_versions(spark, path, _compacted_schema(table), notes)
+    _, manifest = read_manifest(spark, path)
+    full = [f for f in notes if manifest.get(f, "").count(",") + 1 >= MOST_VERSIONS]
+    known = read_versions(spark, path, _compacted_schema(table), full)
     rows = older.select(*columns).unionByName(known.select(*columns))
-    replace_folders(rows, path, "part", notes, notes={f: json.dumps(n) for f, n in notes.items()})
+    replace_folders(rows, path, "part", notes, notes={f: json.dumps(n) for f, n in notes.items()}, added=notes.keys() - set(full))
     return len(notes)
 
 

@@ -278,3 +278,40 @@ def test_batch_and_stream_durations_differ(spark):
     df = spark.sql("select timestamp'2026-06-01 10:00:00' a, timestamp'2026-06-01 10:59:59' b")
     row = df.select(derive.whole_minutes(F.col("a"), F.col("b")), derive.rounded_minutes(F.col("a"), F.col("b"))).first()
     assert tuple(row) == (59, 60)
+
+
+def judged_rows(spark, *lines):
+    return assign_route(validate_events(parse_events(spark.createDataFrame([(x,) for x in lines], "value string"))))
+
+
+def test_compaction_leaves_compacted_rows_alone(spark, tmp_path, monkeypatch):
+    from farelens.sources.versions import read_manifest
+    from farelens.streaming import storage
+
+    monkeypatch.setattr(storage, "MOST_VERSIONS", 3)
+    out, files = str(tmp_path / "out"), []
+    create_stream_tables(spark, out)
+    for k in range(6):
+        write_routed(judged_rows(spark, message(event_id=f"e{k}")), "q", k, out, StreamOptions())
+        compact_stream(spark, out, CLEAN)
+        files.append({p for p in (tmp_path / "out" / "clean_compacted").rglob("*.parquet")})
+        assert sorted(r["event_id"] for r in rows(spark, tmp_path, CLEAN)) == [f"e{i}" for i in range(k + 1)]
+    assert files[1] < files[2]  # the second compaction of the day only adds a file
+    assert len({p.parts[-3] for p in files[3]}) == 3
+    # The fourth one writes the day anew, the fifth one adds to it again.
+    assert read_manifest(spark, f"{out}/clean_compacted")[1]["part=2026-06-06"].count(",") == 1
+
+
+def test_only_repeated_events_are_compared(spark, tmp_path, monkeypatch):
+    from farelens.streaming import job
+
+    stored = {}
+    monkeypatch.setattr(job, "materialize", lambda df, name: stored.setdefault(name, df.localCheckpoint()))
+    out = str(tmp_path / "out")
+    create_stream_tables(spark, out)
+    lines = [message(event_id="a"), message(event_id="b"), message(event_id="b", trip_distance=9.0), message(event_id="b", trip_distance=-1.0), "junk", "junk"]
+    write_routed(judged_rows(spark, *lines), "q", 0, out, StreamOptions(dedupe="table"))
+    assert [r["event_id"] for r in stored["least-events"].collect()] == ["b"]
+    assert [(r["event_id"], r["trip_distance"]) for r in rows(spark, tmp_path, QUARANTINE)] == [("b", -1.0)]
+    assert [r["event_id"] for r in rows(spark, tmp_path, CLEAN)] == ["a"]
+    assert len(rows(spark, tmp_path, DEAD)) == 2
