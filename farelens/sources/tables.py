@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from farelens.session import materialize
-from farelens.sources.versions import file_system, folder_name, is_versioned, read_manifest, read_versions, replace_folders
+from farelens.sources import versions
+from farelens.sources.versions import file_system, is_versioned, read_versions
 
 LOAD_PERIOD = "load_period"
 CLUSTER_COLUMNS = ("PULocationID", "DOLocationID")
+#: Hashes of keys that are compared by name; if more of them repeat, all keys are compared.
+MOST_HASHES = 1_000
 
 
 class DuplicateKeyError(Exception):
@@ -93,29 +96,19 @@ def replace_partitions(df: DataFrame, path: str, *partition_cols: str, rebalance
 def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str | None = None) -> None:
     """Merge on ``keys``: matching rows are replaced, new ones are added, others stay.
 
-    With a ``partition_col``, which must follow from the keys, only the partitions that occur in the
-    source are read; their merged rows are written as a new version, and one rename of a manifest
-    commits all of them. Without one, the merged rows are written beside the table, which is then
+    With a ``partition_col``, which must follow from the keys, the source is written once, as a new version, and its
+    keys are tested there. Only partitions that occur in it and in the table are read and written again, merged; one
+    rename of a manifest commits all of them. Without one, the merged rows are written beside the table, which is then
     exchanged by renaming. A run that is cut short anywhere leaves the old table or the new one, and
     can be repeated. A key twice in the source is refused; NULL keys match nothing.
     """
     spark = source.sparkSession
-    if not partition_col:
-        recover_table(spark, path)
-    source = materialize(source, "upsert-source")
-    repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
-    example = repeated.first()
-    if example is not None:
-        raise DuplicateKeyError(f"key {example.asDict()} is not unique in the source")
-
     if partition_col:
-        _, manifest = read_manifest(spark, path)
-        # One value for each folder that is rewritten.
-        names = {folder_name(partition_col, r[0]) for r in source.select(F.col(partition_col).cast("string")).distinct().collect()}
-        target = read_versions(spark, path, _target_schema(source, partition_col), names & manifest.keys())
-        kept = target.join(source.select(*keys), list(keys), "left_anti")
-        replace_folders(kept.select(*source.columns).unionByName(source), path, partition_col, names, rebalance=len(names) > 1)
+        _upsert_version(source, path, list(keys), partition_col)
         return
+    recover_table(spark, path)
+    source = materialize(source, "upsert-source")
+    refuse_repeats(source, keys)
     merged = source
     if table_exists(spark, path):
         target = spark.read.schema(source.schema).parquet(path)
@@ -123,6 +116,43 @@ def upsert(source: DataFrame, path: str, keys: Sequence[str], partition_col: str
     exchange_table(merged, path)
 
 
+def _upsert_version(source: DataFrame, path: str, keys: list[str], partition_col: str) -> None:
+    spark, schema = source.sparkSession, _target_schema(source, partition_col)
+    if partition_col in keys:
+        source = materialize(source, "upsert-source")  # folder names do not tell empty text from NULL
+    number, manifest = versions.read_manifest(spark, path)
+    version, written = versions.write_version(source, path, partition_col)
+    new = dict.fromkeys(written, version)
+    keyed = source if partition_col in keys else versions.read_folders(spark, path, schema, new)
+    try:
+        refuse_repeats(keyed, keys)
+    except DuplicateKeyError:
+        fs, folder = file_system(spark, path)
+        fs.delete(folder(f"{path}/version={version}"), True)
+        raise
+    met = {f: manifest[f] for f in written if f in manifest}
+    if met:
+        kept = versions.read_folders(spark, path, schema, met).join(keyed.select(*keys), keys, "left_anti").select(*schema.fieldNames())
+        merged = kept.unionByName(versions.read_folders(spark, path, schema, {f: version for f in met}))
+        new |= dict.fromkeys(met, versions.write_version(merged, path, partition_col, rebalance=len(met) > 1)[0])
+    versions.commit(spark, path, number, manifest | new)
+
+
+def refuse_repeats(source: DataFrame, keys: Sequence[str]) -> None:
+    """Fail if a key without NULLs occurs more than once.
+
+    Hashes are counted first, so that keys of long text are not shuffled; keys are compared only where a hash repeats.
+    """
+    hashed = source.dropna(subset=list(keys)).withColumn("_hash", F.xxhash64(*keys))
+    repeated = [r[0] for r in hashed.groupBy("_hash").count().filter("count > 1").select("_hash").take(MOST_HASHES)]
+    if not repeated:
+        return
+    compared = hashed.filter(F.col("_hash").isin(repeated)) if len(repeated) < MOST_HASHES else hashed
+    example = compared.groupBy(*keys).count().filter("count > 1").first()
+    if example is not None:
+        raise DuplicateKeyError(f"key {example.asDict()} is not unique in the source")
+
+
 def recover_table(spark: SparkSession, path: str) -> None:
     """Finish or undo an exchange of the table that was cut short."""
     fs, folder = file_system(spark, path)

@@ -84,6 +84,11 @@ def read_versions(spark: SparkSession, path: str, schema: StructType, folders: I
     """The table, or some of its partition folders, as the newest manifest has them; an absent table is empty."""
     _, manifest = read_manifest(spark, path)
     chosen = manifest if folders is None else {f: manifest[f] for f in folders if f in manifest}
+    return read_folders(spark, path, schema, chosen)
+
+
+def read_folders(spark: SparkSession, path: str, schema: StructType, chosen: dict[str, str]) -> DataFrame:
+    """Rows of partition folders in the versions given, also of those that no manifest names yet."""
     if not chosen:
         return empty_frame(spark, schema)
     paths = [f"{path}/version={version}/{folder}" for folder, versions in sorted(chosen.items()) for version in versions.split(",")]

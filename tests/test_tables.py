@@ -258,3 +258,41 @@ def test_partition_values_that_folders_escape(spark, tmp_path):
     upsert(kv(spark, *[(k, "old", p) for k, p in enumerate(odd)]), path, ["id"], "p")
     upsert(kv(spark, *[(k + 100, "new", p) for k, p in enumerate(odd)]), path, ["id"], "p")
     assert content(spark, path) == sorted([(k, "old", p) for k, p in enumerate(odd)] + [(k + 100, "new", p) for k, p in enumerate(odd)])
+
+
+def test_partitioned_upsert_writes_its_source_once(spark, tmp_path, monkeypatch):
+    from farelens.sources import tables
+
+    path, written = str(tmp_path / "t"), []
+    whole = versions.write_version
+    monkeypatch.setattr(versions, "write_version", lambda df, *a, **k: written.append(df.count()) or whole(df, *a, **k))
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "materialize", lambda *_: pytest.fail("the source is stored besides"))
+        upsert(kv(spark, (1, "a", "x"), (2, "b", "y"), (None, "c", "y"), (None, "d", "y")), path, ["id"], "p")
+        upsert(kv(spark, (2, "B", "y"), (3, "e", "z")), path, ["id"], "p")
+    # The second source, then the merged rows of the one partition that was there before.
+    assert written == [4, 2, 3]
+    rows = {(r["id"], r["v"], r["p"]) for r in read_table(spark, path, StructType.fromDDL(KV)).collect()}
+    assert rows == {(1, "a", "x"), (2, "B", "y"), (None, "c", "y"), (None, "d", "y"), (3, "e", "z")}
+
+
+def test_refused_first_upsert_leaves_no_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(DuplicateKeyError, match="'id': 1"):
+        upsert(kv(spark, (1, "a", "x"), (1, "b", "y")), path, ["id"], "p")
+    assert not list((tmp_path / "t").glob("version=*"))
+    # Empty text and NULL fall into one folder, yet they are different keys.
+    upsert(kv(spark, (1, "a", ""), (1, "b", None), (1, "c", "x")), path, ["id", "p"], "p")
+    assert read_table(spark, path, StructType.fromDDL(KV)).count() == 3
+
+
+def test_repeated_keys_are_found_among_many(spark, monkeypatch):
+    from farelens.sources import tables
+
+    # The hash is only a filter: one that repeats without a repeated key refuses nothing.
+    monkeypatch.setattr(tables.F, "xxhash64", lambda *_: F.lit(1))
+    tables.refuse_repeats(spark.range(50), ["id"])
+    for most in (1, 1_000):
+        monkeypatch.setattr(tables, "MOST_HASHES", most)
+        with pytest.raises(DuplicateKeyError):
+            tables.refuse_repeats(spark.range(50).unionAll(spark.range(7, 8)), ["id"])
