@@ -33,6 +33,9 @@ MART_KEYS = {
     "zone_performance_summary": ("location_id",),
 }
 
+# Tables of partials that are built from one reading of the trips.
+PARTIALS_TOGETHER = (("hourly", "daily"), ("route", "payment"))
+
 
 @dataclass(frozen=True)
 class Warehouse:
@@ -201,13 +204,16 @@ def refresh_comparison(enriched: DataFrame, stream_clean: DataFrame, warehouse:
 def update_partials(enriched: DataFrame, warehouse: Warehouse, *periods: str) -> None:
     """Replace the partials of ``periods`` by those of ``enriched``, which holds all trips of these and no others.
 
-    The trips are read once, for all tables of partials; a period without trips leaves none.
+    ``enriched`` should be stored: it is read once for each of two grains, whose few groups fold within the tasks. The
+    common grain of all marts has about as many groups as there are trips. A period without trips leaves none.
     """
-    rollup = materialize(marts.rollup_trips(enriched, ("source_period", *marts.MART_GRAIN)), "mart-partials")
-    for name, keys in marts.PARTIALS.items():
-        part = rollup.groupBy("source_period", *keys).agg(*[F.sum(c).alias(c) for c in marts.partial_names()])
-        folders = [folder_name("source_period", p) for p in periods]
-        replace_folders(part, warehouse.path(f"partials_{name}"), "source_period", folders, rebalance=len(periods) > 1)
+    for names in PARTIALS_TOGETHER:
+        grain = dict.fromkeys(("source_period", *[k for name in names for k in marts.PARTIALS[name]]))
+        rollup = materialize(marts.rollup_trips(enriched, tuple(grain)), "mart-partials")
+        for name in names:
+            part = rollup.groupBy("source_period", *marts.PARTIALS[name]).agg(*[F.sum(c).alias(c) for c in marts.partial_names()])
+            folders = [folder_name("source_period", p) for p in periods]
+            replace_folders(part, warehouse.path(f"partials_{name}"), "source_period", folders, rebalance=len(periods) > 1)
 
 
 def _partials_schema(enriched: DataFrame, keys: Iterable[str]) -> StructType:

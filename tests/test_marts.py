@@ -103,3 +103,29 @@ def test_scorecard_without_trips(spark):
 def test_quarantine_reasons(spark):
     df = spark.createDataFrame([("a, b",), ("a",), ("a",)], "quarantine_reason string")
     assert {r["reason"]: r["n_rows"] for r in quarantine_reasons(df).collect()} == {"a": 3, "b": 1}
+
+
+def test_partials_are_not_stored_at_the_grain_of_all_marts(spark, tmp_path, monkeypatch):
+    from datetime import datetime, timedelta
+
+    from farelens.operators.enrich import enrich_trips
+    from farelens.operators.staging import stage_trips, stage_zones
+    from farelens.plans import batch
+    from farelens.sources.schemas import RAW_ZONE
+    from tests.rows import trips
+
+    start = datetime(2026, 4, 1)
+    changes = [
+        {"lpep_pickup_datetime": start + timedelta(hours=h), "lpep_dropoff_datetime": start + timedelta(hours=h, minutes=9), "DOLocationID": z, "payment_type": p}
+        for h in range(6) for z in range(5) for p in (1, 2)
+    ]
+    zones = stage_zones(spark.createDataFrame([(k, "b", f"z{k}", "s") for k in range(6)], RAW_ZONE))
+    rows = enrich_trips(stage_trips(trips(spark, *changes)), zones).cache()
+    counts, whole = [], batch.materialize
+    monkeypatch.setattr(batch, "materialize", lambda df, name: counts.append(df.count()) or whole(df, name))
+    warehouse = batch.Warehouse(str(tmp_path / "wh"))
+    batch.update_partials(rows, warehouse, "2026-04")
+    # 60 trips: 6 hours, and 5 routes of 2 payments.
+    assert counts == [6, 10]
+    n = {name: batch.read_partials(rows, warehouse, name) for name in marts.PARTIALS}
+    assert {k: (v.count(), v.agg({"rows_n": "sum"}).first()[0]) for k, v in n.items()} == {"daily": (1, 60), "hourly": (6, 60), "payment": (2, 60), "route": (5, 60)}
