@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,6 +38,8 @@ REPLAYED_TOGETHER = 25_000
 STEPS = 4
 #: Pairs whose rank is remembered in a worker.
 _PAIRS = 500_000
+#: Places of one rank from which on they are merged together rather than one by one.
+_MANY = 64
 
 
 class Vocabulary:
@@ -128,7 +131,7 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
 
     Within a word the lowest rank comes first and, of one rank, the leftmost place. A merge can make a pair of a lower
     rank than its own; then the word's other places of this rank wait until that one is done. Linear in the places
-    entered: two for each merge.
+    entered: two for each merge. A rank of many places is merged at once in all words that have one of them.
     """
     if not words:
         return []
@@ -145,15 +148,19 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     ranks, cuts = np.unique(first_pairs[places], return_index=True)
     index = {int(r): part.tolist() for r, part in zip(ranks, np.split(places, cuts[1:]), strict=True)} if len(places) else {}
     queue = sorted(index)
-    token, pair = vocabulary.of_byte[data].tolist(), first_pairs.tolist()
-    after = np.where(last, -1, np.arange(1, n + 1)).tolist()
-    before = np.where(np.concatenate([[True], last[:-1]]), -1, np.arange(-1, n - 1)).tolist()
+    # Numbers that single steps and numpy share.
+    token, pair = array("q", vocabulary.of_byte[data].astype(np.int64).tobytes()), array("q", first_pairs.tobytes())
+    after = array("q", np.where(last, -1, np.arange(1, n + 1)).astype(np.int64).tobytes())
+    before = array("q", np.where(np.concatenate([[True], last[:-1]]), -1, np.arange(-1, n - 1)).astype(np.int64).tobytes())
     gone = bytearray(n)
+    together = _Together(vocabulary, ends, index, queue, token, pair, after, before, gone)
     known, size, look_up = vocabulary.pairs, vocabulary.size, vocabulary.pair_rank
     while queue:
         rank = heapq.heappop(queue)
         held, waiting = -1, []
         at_rank = index.pop(rank)
+        if len(at_rank) >= _MANY:
+            at_rank = together.merge(rank, at_rank)
         at_rank.sort()
         for at in at_rank:
             if pair[at] != rank:
@@ -198,8 +205,64 @@ def replay(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
                 index[rank] = waiting
                 heapq.heappush(queue, rank)
     left = np.flatnonzero(np.frombuffer(gone, np.uint8) == 0)
-    ids = np.array(token, np.int64)[left]
-    return [part.tolist() for part in np.split(ids, np.searchsorted(left, ends[:-1]))]
+    ids = np.frombuffer(token, np.int64)[left].tolist()
+    cuts = np.searchsorted(left, ends).tolist()
+    return [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
+
+class _Together:
+    """Merges of one rank in many words at once, on the arrays of a replay."""
+
+    def __init__(self, vocabulary: Vocabulary, ends: np.ndarray, index: dict, queue: list, token, pair, after, before, gone):
+        self.look_up, self.index, self.queue = vocabulary.pair_rank, index, queue
+        self.token, self.pair, self.after, self.before = (np.frombuffer(x, np.int64) for x in (token, pair, after, before))
+        self.gone = np.frombuffer(gone, np.uint8)
+        self.word = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+
+    def merge(self, rank: int, places: list[int]) -> list[int]:
+        """Merge the only place of ``rank`` in each word; the places of words that have several are left and returned."""
+        at = np.array(places, np.int64)
+        at = at[self.pair[at] == rank]  # others have been merged with another neighbour
+        at.sort()
+        word = self.word[at]
+        same = word[1:] == word[:-1]
+        rest = []
+        if same.any():
+            several = np.zeros(len(at), bool)
+            several[1:] = same
+            several[:-1] |= same
+            rest, at = at[several].tolist(), at[~several]
+        if not len(at):
+            return rest
+        right = self.after[at]
+        beyond, ahead = self.after[right], self.before[at]
+        self.token[at], self.gone[right], self.pair[right], self.pair[at] = rank, 1, -1, -1
+        self.after[at] = beyond
+        follows = beyond >= 0
+        beyond, ahead, at = beyond[follows], ahead[ahead >= 0], at[follows]
+        self.before[beyond] = at
+        self._enter(at, self.token[beyond], lambda t: self.look_up(rank, t))
+        self._enter(ahead, self.token[ahead], lambda t: self.look_up(t, rank))
+        return rest
+
+    def _enter(self, places: np.ndarray, neighbours: np.ndarray, rank_with) -> None:
+        """Enter new pairs, whose ranks follow from the merged token's neighbours."""
+        if not len(places):
+            return
+        order = neighbours.argsort()
+        places, neighbours = places[order], neighbours[order]
+        cuts = [0, *((neighbours[1:] != neighbours[:-1]).nonzero()[0] + 1).tolist(), len(places)]
+        ranks = [rank_with(t) for t in neighbours[cuts[:-1]].tolist()]
+        self.pair[places] = np.array(ranks, np.int64).repeat([b - a for a, b in zip(cuts, cuts[1:], strict=False)])
+        places = places.tolist()
+        for rank, a, b in zip(ranks, cuts, cuts[1:], strict=False):
+            if rank < 0:
+                continue
+            if rank in self.index:
+                self.index[rank].extend(places[a:b])
+            else:
+                self.index[rank] = places[a:b]
+                heapq.heappush(self.queue, rank)
 
 
 @dataclass

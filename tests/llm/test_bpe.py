@@ -95,3 +95,26 @@ def test_query_on_the_whole_table(spark, library):
         assert found["n_tokens"] == len(ids)
         assert found["ids_sha256"] == hashlib.sha256(ids.tobytes()).hexdigest()
         assert found["decoded_sha256"] == hashlib.sha256((row["text"] or "").encode()).hexdigest()
+
+
+def test_many_places_of_a_rank_are_merged_together(known, monkeypatch):
+    """Words that share their pairs are looked up by pair, not by place, and the ids do not depend on the way."""
+
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, key, default=None):
+            Counted.looked_up += 1
+            return super().get(key, default)
+
+    draw = random.Random(11)
+    parts = ["".join(draw.choice("bdklmnrst") + draw.choice("aeiou") for _ in range(2)) for _ in range(60)]
+    words = sorted({" " + "".join(draw.choice(parts) for _ in range(3)) for _ in range(5000)})
+    words += ["", "aaaaaaa", " " * 9, "日本語日本語", *(draw.choice("ab") * draw.randint(1, 6) for _ in range(300))]
+    want = [one_by_one(w.encode(), known.ranks) for w in words]
+    monkeypatch.setattr(known, "pairs", Counted(known.pairs))
+    for many in (bpe._MANY, 1, 10**9):
+        monkeypatch.setattr(bpe, "_MANY", many)
+        Counted.looked_up = 0
+        assert bpe.replay([w.encode() for w in words], known) == want
+        assert many == 10**9 or Counted.looked_up < 3 * len(words)
