@@ -70,6 +70,19 @@ def test_passage_with_parts_in_earlier_documents(spark):
     assert (60, 50, 7, 87) in got and (90, 70, 4, 404) in got
 
 
+def test_passage_whose_parts_stand_in_documents_before_and_after(spark):
+    fresh = fresh_words(12)
+    texts, want = [], set()
+    for k, n in enumerate((50, 60, 80)):
+        shared, base = fresh(n), 100 * k
+        # Parts of the passage stand in the first documents and in the ones just before, so no seed is matched with base + 50.
+        parts = [shared[i : i + 28] for i in range(0, n - 24, 16)]
+        texts += [(base + d + i, [*fresh(9), *x, *fresh(9)]) for d in (1, 60) for i, x in enumerate(parts)]
+        texts += [(base + 50, [*fresh(5), *shared, *fresh(8)]), (base + 90, [*fresh(7), *shared, *fresh(4)])]
+        want.add((base + 90, base + 50, 7, 7 + n))
+    assert _passage_pairs(spark, texts) == want
+
+
 def test_fuzzy_short_passages_are_seeded(spark):
     fresh = fresh_words(4)
     texts, want = [], set()
