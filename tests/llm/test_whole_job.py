@@ -83,6 +83,18 @@ def test_passage_whose_parts_stand_in_documents_before_and_after(spark):
     assert _passage_pairs(spark, texts) == want
 
 
+def test_texts_of_words_over_and_over_give_few_passages(spark):
+    fresh = fresh_words(13)
+    for word in (["w"], ["w", "v"]):
+        texts = [(1, [*fresh(20), *word * (400 // len(word)), *fresh(20)]), (2, [*fresh(30), *word * (300 // len(word)), *fresh(10)])]
+        texts += [(3, [*fresh(5), *word * (1000 // len(word)), *fresh(5)])]
+        got = _passage_pairs(spark, texts)
+        # One passage for each time that the earlier text is at its end, not one for each run of 50 words.
+        assert [x for x in got if x[0] == 2] == [(2, 1, 30, 330)] and len(got) <= 6
+        for k in range(5, 1005 - passages.MIN_WORDS):
+            assert any(doc == 3 and start <= k and k + passages.MIN_WORDS <= end for doc, _, start, end in got)
+
+
 def test_fuzzy_short_passages_are_seeded(spark):
     fresh = fresh_words(4)
     texts, want = [], set()
