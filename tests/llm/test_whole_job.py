@@ -83,6 +83,28 @@ def test_passage_whose_parts_stand_in_documents_before_and_after(spark):
     assert _passage_pairs(spark, texts) == want
 
 
+def test_changed_passage_whose_parts_all_stand_in_other_documents(spark):
+    fresh, texts = fresh_words(14), []
+    # The second passage has two words more after some of its parts, so that its places do not keep their distance.
+    for base, more in ((0, ()), (100, (19, 39))):
+        shared = fresh(60)
+        # Every seed of the passage stands in a document before the 50th and in one after it, too.
+        texts += [(base + d + i // 10, [*fresh(30), *shared[i : i + 9], *fresh(30)]) for d in (1, 60) for i in range(0, 60, 10)]
+        changed = [y for i, x in enumerate(shared[:59]) for y in [fresh(1)[0] if i % 10 == 9 else x, *fresh(2 * (i in more))]]
+        texts += [(base + 50, [*fresh(5), *shared, *fresh(8)]), (base + 90, [*fresh(7), *changed, *fresh(40)])]
+    assert _passage_pairs(spark, texts) == {(90, 50, 7, 66), (190, 150, 7, 70)}
+
+
+def test_changed_passage_at_a_later_place_of_its_document(spark):
+    fresh = fresh_words(15)
+    shared = fresh(60)
+    # The seeds stand one by one at the beginning of the earlier document, which is their first place there.
+    parts = [y for i in range(0, 60, 10) for j in range(i, i + 6) for y in [*shared[j : j + 4], *fresh(9)]]
+    changed = [fresh(1)[0] if i % 10 == 9 else x for i, x in enumerate(shared)][:59]
+    texts = [(1, [*parts, *fresh(9), *shared, *fresh(9)]), (2, [*fresh(20), *changed, *fresh(20)])]
+    assert (2, 1, 20, 79) in _passage_pairs(spark, texts)
+
+
 def test_texts_of_words_over_and_over_give_few_passages(spark):
     fresh = fresh_words(13)
     for word in (["w"], ["w", "v"]):
