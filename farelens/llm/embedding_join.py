@@ -8,8 +8,10 @@ coordinates, to their own cell as seekers and to all cells within the budget as
 are compared inside a cell. What passes is compared by the cosine of the original components, and a pair counts in
 the first block whose budget it keeps, so that the union over blocks needs no further shuffle.
 
-Pairs never leave a task: what does are the number of partners of each vector and, for the components, one edge from
-each vector of a cell to the smallest it is connected with there.
+The vectors of a label are dealt to parts, and each task makes the range joins of all blocks for two parts. So a vector is
+sent as often as its label has parts, once for most, rather than once for each of its cells. Pairs never leave a task: what
+does are the number of partners of each vector and, for the components, one edge from each vector of a task to the
+smallest it is connected with there.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from farelens.llm.components import connected, local_roots
 from farelens.llm.words import small_batches, whole_groups
-from farelens.session import materialize, spread
+from farelens.session import broadcast_if_bounded, materialize
 
 COSINE = 0.93
 BLOCK_DIMENSIONS = 8
@@ -32,12 +34,14 @@ GRID = 2
 WIDTH = 3.0
 #: Vectors that the rotation is fitted on, those with the smallest hashes. Links do not depend on it.
 ROTATION_SAMPLE = 4_000
-#: Seekers and partners of a cell are dealt to tiles of about so many rows each.
-TILE = 4_000
+#: Vectors of a part of a label, about. A task holds two parts.
+TILE = 40_000
 #: Room for rounding in distances; the cosine decides.
 SLACK = 1e-6
+#: More than single precision can be off in the cosine or the squared distance of two unit vectors.
+_ROUGH = 1e-3
 
-_CHUNK = 512
+_DISTANCES = 2_000_000
 _PAIRS = 50_000
 
 
@@ -61,34 +65,26 @@ def fit_rotation(sample: np.ndarray, dimensions: int) -> tuple[np.ndarray, list[
     return axes, blocks, variance / variance.sum()
 
 
-def _cells(rotation, bound: float):
-    """Seekers and partners of every vector: one row for each block and cell."""
+def _cells(lead: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The own cell of each vector, and all cells within reach of it, sorted, with the vector of each."""
+    width = WIDTH * reach
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes, blocks, shares = rotation.value
-        for batch in batches:
-            raw = batch.column("embedding")
-            x = np.asarray(raw.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(raw), -1)
-            rotated = _unit(x) @ axes
-            for b, (dims, share) in enumerate(zip(blocks, shares, strict=True)):
-                reach = np.sqrt(bound * share) + SLACK
-                lead = rotated[:, dims[:GRID]]
-                width = WIDTH * reach
-                own = np.floor(lead / width).astype(np.int64)
-                low, high = np.floor((lead - reach) / width).astype(np.int64), np.floor((lead + reach) / width).astype(np.int64)
-                for step in np.ndindex(*[int(w) + 1 for w in (high - low).max(axis=0, initial=0)]):
-                    cell = low + np.array(step)
-                    take = np.flatnonzero((cell <= high).all(axis=1))
-                    if len(take):
-                        at = cell[take]
-                        key = np.full(len(take), b, np.int64)
-                        for c in range(at.shape[1]):
-                            key = key * 4096 + (at[:, c] + 2048)
-                        picked = batch.take(pa.array(take))
-                        seeks = (at == own[take]).all(axis=1)
-                        yield pa.RecordBatch.from_arrays([*picked.columns, pa.array(key), pa.array(seeks)], [*batch.schema.names, "cell", "seeks"])
+    def key(cell: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(cell), np.int64)
+        for c in range(cell.shape[1]):
+            out = out * (1 << 31) + cell[:, c]
+        return out
 
-    return run
+    low, high = np.floor((lead - reach) / width).astype(np.int64), np.floor((lead + reach) / width).astype(np.int64)
+    keys, rows = [], []
+    for step in np.ndindex(*[int(w) + 1 for w in (high - low).max(axis=0, initial=0)]):
+        cell = low + np.array(step)
+        take = np.flatnonzero((cell <= high).all(axis=1))
+        keys.append(key(cell[take]))
+        rows.append(take)
+    keys, rows = np.concatenate(keys), np.concatenate(rows)
+    order = np.argsort(keys, kind="stable")
+    return key(np.floor(lead / width).astype(np.int64)), keys[order], rows[order]
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -97,63 +93,77 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def _compare(rotation, cosine: float, bound: float):
-    """Count the partners of each seeker of a tile, and connect linked vectors."""
+    """Count the partners of each vector of a tile, and connect linked vectors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        axes, blocks, shares = rotation.value
-        limits = bound * shares + SLACK
         for table in whole_groups(batches, "tile"):
             tiles = table.column("tile").to_numpy()
             cuts = [0, *(np.flatnonzero(np.diff(tiles)) + 1), len(tiles)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                yield _tile(table.slice(a, b - a), axes, blocks, limits, cosine)
+                yield _tile(table.slice(a, b - a), *rotation.value, cosine, bound)
 
     return run
 
 
-def _tile(table: pa.Table, axes, blocks, limits, cosine: float) -> pa.RecordBatch:
+def _tile(table: pa.Table, axes, blocks, shares, cosine: float, bound: float) -> pa.RecordBatch:
     raw = table.column("embedding").combine_chunks()
     x = _unit(np.asarray(raw.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(raw), -1))
-    rotated = x @ axes
-    ids, weights = table.column("rep").to_numpy(), table.column("copies").to_numpy()
-    role = table.column("role").to_numpy(zero_copy_only=False).astype(bool)
-    seekers, partners = np.flatnonzero(role), np.flatnonzero(~role)
-    block = int(table.column("cell")[0].as_py()) // 4096 ** min(GRID, len(blocks[0]))
-    counts = np.zeros(len(seekers), np.int64)
+    rotated, rough = x @ axes, x.astype(np.float32)
+    turned = rotated.astype(np.float32)
+    ids, weights, part = (table.column(c).to_numpy() for c in ("rep", "copies", "part"))
+    both = not table.column("alone")[0].as_py()
+    limits = bound * shares + SLACK
+    # One part is compared with itself, two parts with each other.
+    seekers = np.flatnonzero(part == part[0])
+    partners = np.flatnonzero(part != part[0]) if both else seekers
+    counts = np.zeros(len(ids), np.int64)
     left, right = [], []
-    for k in range(0, len(seekers), _CHUNK):
-        s = seekers[k : k + _CHUNK]
-        near = _distance(rotated[s][:, blocks[block]], rotated[partners][:, blocks[block]]) <= limits[block]
-        i, j = np.nonzero(near)
-        for begin in range(0, len(i), _PAIRS):
-            si, pj = s[i[begin : begin + _PAIRS]], partners[j[begin : begin + _PAIRS]]
-            apart = rotated[si] - rotated[pj]
-            apart *= apart
-            # Counted in the first block that lets it pass, and only if it is another vector.
-            first = np.ones(len(si), bool)
-            for b in range(block):
-                first &= apart[:, blocks[b]].sum(axis=1) > limits[b]
-            linked = first & (ids[si] != ids[pj])
-            si, pj, at = si[linked], pj[linked], i[begin : begin + _PAIRS][linked]
-            linked = (x[si] * x[pj]).sum(axis=1) >= cosine
-            np.add.at(counts, k + at[linked], weights[pj[linked]])
-            # Only one edge from each vector to the smallest it is connected with is kept of many pairs.
-            nodes, roots = local_roots(ids[si[linked]], ids[pj[linked]])
-            left.append(nodes)
-            right.append(roots)
+    for block, (dims, share) in enumerate(zip(blocks, shares, strict=True)):
+        reach = np.sqrt(bound * share) + SLACK
+        own = _cells(rotated[seekers][:, dims[:GRID]], reach)[0]
+        _, cells, at = _cells(rotated[partners][:, dims[:GRID]], reach)
+        order = np.argsort(own, kind="stable")
+        own, mine = own[order], seekers[order]
+        cuts = [0, *(np.flatnonzero(np.diff(own)) + 1), len(own)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            near = np.sort(partners[at[np.searchsorted(cells, own[a]) : np.searchsorted(cells, own[a], "right")]])
+            step = max(1, _DISTANCES // max(1, len(near)))
+            for s in (mine[k : min(k + step, b)] for k in range(a, b, step)):
+                if not both:  # of two vectors of one part, the first is the seeker
+                    near = near[np.searchsorted(near, s[0], "right") :]
+                # By single precision first, as most pairs that one block lets pass are far apart in the others.
+                close = rough[s] @ rough[near].T >= cosine - _ROUGH
+                close &= _distance(turned[s][:, dims], turned[near][:, dims]) <= limits[block] + _ROUGH
+                i, j = np.nonzero(close)
+                for begin in range(0, len(i), _PAIRS):
+                    si, pj = s[i[begin : begin + _PAIRS]], near[j[begin : begin + _PAIRS]]
+                    apart = rotated[si] - rotated[pj]
+                    apart *= apart
+                    # Counted in the first block that lets it pass, and only if it is another vector.
+                    linked = (ids[si] != ids[pj]) & (apart[:, dims].sum(axis=1) <= limits[block]) & (both | (si < pj))
+                    for b0 in range(block):
+                        linked &= apart[:, blocks[b0]].sum(axis=1) > limits[b0]
+                    si, pj = si[linked], pj[linked]
+                    linked = (x[si] * x[pj]).sum(axis=1) >= cosine
+                    si, pj = si[linked], pj[linked]
+                    np.add.at(counts, si, weights[pj])
+                    np.add.at(counts, pj, weights[si])
+                    # Only one edge from each vector to the smallest it is connected with is kept of many pairs.
+                    nodes, roots = local_roots(ids[si], ids[pj])
+                    left.append(nodes)
+                    right.append(roots)
     left, right = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (left, right))
     nodes, roots = local_roots(left, right)
-    at = np.minimum(np.searchsorted(nodes, ids[seekers]), max(len(nodes) - 1, 0))
-    root = np.where(nodes[at] == ids[seekers], roots[at], ids[seekers]) if len(nodes) else ids[seekers]
-    # Partners that no row here stands for get an edge of their own.
-    others = ~np.isin(nodes, ids[seekers])
-    out = [np.concatenate([ids[seekers], nodes[others]]), np.concatenate([counts, np.zeros(others.sum(), np.int64)]), np.concatenate([root, roots[others]])]
-    keep = (out[1] > 0) | (out[0] != out[2])
-    return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in out], ["rep", "n", "root"])
+    at = np.minimum(np.searchsorted(nodes, ids), max(len(nodes) - 1, 0))
+    root = np.where(nodes[at] == ids, roots[at], ids) if len(nodes) else ids
+    keep = (counts > 0) | (ids != root)
+    return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (ids, counts, root)], ["rep", "n", "root"])
 
 
 def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T - 1e-9
+    """Squared distances of the rows of ``a`` from those of ``b``."""
+    one, square = np.ones_like(a[:, :1]), lambda x: (x * x).sum(axis=1, keepdims=True)
+    return np.hstack([square(a), one, -2 * a]) @ np.hstack([np.ones_like(b[:, :1]), square(b), b]).T
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -168,11 +178,16 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     small_batches(spark, 1_000)
     vectors = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding"), "label").filter("vec_id is not null")
     usable = vectors.filter(valid(F.col("embedding")) & F.col("label").isNotNull())
-    usable = usable.withColumn("key", F.sha2(F.concat_ws("|", F.col("label").cast("string"), F.to_json("embedding")), 256))
+    usable = usable.withColumn("key", F.unhex(F.sha2(F.concat_ws("|", F.col("label").cast("string"), F.to_json("embedding")), 256)))
     copies = materialize(usable.select("vec_id", "key"), "vector-keys")
     classes = materialize(copies.groupBy("key").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "vector-classes")
-    single = usable.join(classes.select(F.col("rep").alias("vec_id"), "copies"), "vec_id")
-    single = materialize(single.select(F.col("vec_id").alias("rep"), "label", F.size("embedding").alias("size"), "copies", "embedding"), "vectors")
+    # Vectors that stand for themselves alone, as a rule all but a few, are not moved.
+    others = materialize(copies.select("vec_id").join(classes.select(F.col("rep").alias("vec_id")), "vec_id", "left_anti").distinct(), "vector-copies")
+    per_rep = classes.groupBy("rep").agg(F.collect_list("copies").alias("copies")).filter((F.size("copies") > 1) | (F.col("copies")[0] > 1))
+    per_rep = broadcast_if_bounded(materialize(per_rep.withColumnRenamed("rep", "vec_id"), "vector-weights"))
+    single = usable.drop("key").join(broadcast_if_bounded(others), "vec_id", "left_anti").join(per_rep, "vec_id", "left")
+    weight = F.explode(F.coalesce("copies", F.array(F.lit(1).cast("bigint"))))
+    single = materialize(single.select(F.col("vec_id").alias("rep"), "label", F.size("embedding").alias("size"), weight.alias("copies"), "embedding"), "vectors")
     bound = 2 - 2 * cosine
     found = None
     for row in single.select("size").distinct().orderBy("size").toLocalIterator():  # one size for all, as a rule
@@ -196,22 +211,12 @@ def _links(single: DataFrame, size: int, cosine: float, bound: float) -> DataFra
     drawn = single.orderBy(F.xxhash64("rep"), "rep").limit(ROTATION_SAMPLE).select("embedding").collect()
     sample = _unit(np.array([r["embedding"] for r in drawn], np.float64).reshape(-1, size))
     rotation = spark.sparkContext.broadcast(fit_rotation(sample, size))
-    kind = dict(single.dtypes)["label"]
-    element = dict(single.dtypes)["embedding"]
-    schema = f"rep bigint, label {kind}, copies bigint, embedding {element}, cell bigint, seeks boolean"
-    cells = spread(single, single).mapInArrow(_cells(rotation, bound), schema)
-    # A cell of many vectors is cut: every tile has some of its seekers and some of its partners, of about TILE rows.
-    sizes = cells.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("seeks").cast("int")).alias("n_seeks")).filter("n_seeks > 0")
-    sizes = sizes.select("label", "cell", F.ceil(F.col("n") / TILE).cast("int").alias("cuts"))
-    cells = cells.join(sizes, ["label", "cell"])
-    mine = F.pmod(F.xxhash64("rep"), F.col("cuts")).cast("int")
-    everywhere = F.sequence(F.lit(0), F.col("cuts") - 1)
-    seeker = F.transform(everywhere, lambda k: F.struct(mine.alias("row"), k.alias("column"), F.lit(True).alias("role")))
-    partner = F.transform(everywhere, lambda k: F.struct(k.alias("row"), mine.alias("column"), F.lit(False).alias("role")))
-    roles = F.concat(F.when(F.col("seeks"), seeker).otherwise(F.slice(seeker, 1, 0)), partner)
-    dealt = cells.select("label", "cell", "rep", "copies", "embedding", F.explode(roles).alias("r"))
-    dealt = dealt.select("cell", "rep", "copies", "embedding", F.col("r.role").alias("role"), F.xxhash64("label", "cell", "r.row", "r.column").alias("tile"))
-    dealt = dealt.repartition("tile").sortWithinPartitions("tile")
+    parts = single.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
+    dealt = single.join(broadcast_if_bounded(materialize(parts, "label-parts")), "label")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tile = F.xxhash64("label", F.least("part", "other"), F.greatest("part", "other"))
+    dealt = dealt.select("rep", "copies", "part", (F.col("part") == F.col("other")).alias("alone"), "embedding", tile.alias("tile")).repartition("tile").sortWithinPartitions("tile")
     return materialize(dealt.mapInArrow(_compare(rotation, cosine, bound), "rep bigint, n bigint, root bigint"), "vector-links")
 
 

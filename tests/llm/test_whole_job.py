@@ -2,7 +2,10 @@
 
 import random
 
-from farelens.llm import licenses, line_runs, ngram_join, passages
+import numpy as np
+import pytest
+
+from farelens.llm import embedding_join, licenses, line_runs, ngram_join, passages
 
 
 def fresh_words(seed):
@@ -178,3 +181,28 @@ def test_runs_are_maximal_whatever_the_earliest_copies(spark):
     df = spark.createDataFrame(texts, "doc_id bigint, text string")
     got = {r["doc_id"]: [tuple(x) for x in r["runs"]] for r in line_runs.repeated_runs(df).collect()}
     assert got == {5: [(1, 2, 1, 1)], 10: [(0, 4, 5, 0)], 11: [(0, 2, 5, 2), (3, 2, 5, 0)]}
+
+
+@pytest.mark.parametrize("tile", [40_000, 60])
+def test_vectors_are_sent_once_for_a_part(spark, monkeypatch, tile):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(400, 32))
+    x[200:] = x[:200] + rng.normal(size=(200, 32)) * rng.uniform(0, 0.6, (200, 1))
+    x[390:] = x[:10]  # copies
+    label = rng.integers(0, 2, 400)
+    label[200:] = label[:200]
+    monkeypatch.setattr(embedding_join, "TILE", tile)
+    sent, before = [], type(spark.range(1)).mapInArrow
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda df, *a, **b: (sent.append(df.count()) if "embedding" in df.columns else None, before(df, *a, **b))[1])
+    rows = [(k, [float(v) for v in e], int(n)) for k, (e, n) in enumerate(zip(x, label, strict=True))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_join.near_vectors(df).collect()}
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= embedding_join.COSINE) & (label[:, None] == label[None, :]) & ~np.eye(400, dtype=bool)
+    assert linked.sum() > 150 and {k: n for k, (n, _) in got.items()} == dict(enumerate(linked.sum(axis=1).tolist()))
+    part = np.arange(400)
+    for _ in range(400):
+        part = np.minimum(part, np.where(linked, part[None, :], 400).min(axis=1))
+    assert {k: c for k, (_, c) in got.items()} == dict(enumerate(part.tolist()))
+    # Not once for each cell of each block.
+    assert sent and max(sent) <= 400 * (1 if tile > 400 else 5)
