@@ -17,12 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens.llm.words import ALPHANUMERIC, small_batches, text_blocks
+from farelens.llm.words import ALPHANUMERIC, small_batches, text_blocks, windows
 from farelens.session import materialize, spread
 
 WINDOW = 10
 #: Words of a segment, unless one document alone has more.
 SEGMENT_WORDS = 400_000
+#: A segment is a row of some megabytes; readers and writers hold one row group.
+ROW_GROUP_BYTES = 8 << 20
 #: Phrase words that go to the tasks at once (8 bytes each); larger benchmarks are searched in as many passes.
 BLOCK_WORDS = 1_000_000
 
@@ -75,7 +77,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     """
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text").filter("doc_id is not null")
-    return materialize(spread(docs, docs).mapInArrow(_index, INDEX), "phrase-index")
+    return materialize(spread(docs, docs).mapInArrow(_index, INDEX), "phrase-index", row_group_bytes=ROW_GROUP_BYTES)
 
 
 def _phrase_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,25 +133,43 @@ def _within(at: np.ndarray, length: int, bases: np.ndarray) -> tuple[np.ndarray,
     return at[inside], doc[inside]
 
 
+def _phrases(items: list[tuple[str, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """The words of all items, place and length of each distinct phrase among them, and the items of the phrases: those of
+    phrase p are ``owners[bounds[p] : bounds[p + 1]]``. Arrays only, as objects for each phrase would take many times the room."""
+    words = np.concatenate([w for _, w in items])
+    sizes = np.array([len(w) for _, w in items])
+    first = np.cumsum(sizes) - sizes
+    n = np.minimum(sizes, WINDOW)
+    counts = sizes - n + 1
+    owners = np.repeat(np.arange(len(items)), counts)
+    starts = first[owners] + np.arange(len(owners)) - np.repeat(np.cumsum(counts) - counts, counts)
+    names = np.zeros(len(owners), np.uint64)
+    for length in np.unique(n).tolist():
+        k = n[owners] == length
+        names[k] = windows(words.view(np.uint64), length)[starts[k]]
+    order = np.argsort(names, kind="stable")
+    new = np.flatnonzero(np.concatenate([[True], np.diff(names[order]) != 0]))
+    return words, starts[order[new]], n[owners[order[new]]], owners[order], np.append(new, len(order))
+
+
 def _search(block):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = block.value
-        windows: dict[bytes, tuple[np.ndarray, list[str]]] = {}
-        for item, words in items:
-            n = min(WINDOW, len(words))
-            for k in range(len(words) - n + 1):
-                phrase = words[k : k + n]
-                windows.setdefault(phrase.tobytes(), (phrase, []))[1].append(item)
-        distinct = [(p, list(dict.fromkeys(names))) for p, names in windows.values()]
-        wanted = np.unique(np.concatenate([w for _, w in items])) if items else np.zeros(0, np.int64)
-        for doc_ids, bases, lists in _open_segments(batches, wanted):
+        items = [item for item, _ in block.value]
+        words, starts, lengths, owners, bounds = _phrases(block.value)
+        wanted, code = np.unique(words, return_inverse=True)
+        for doc_ids, bases, terms, firsts, places in _segment_rows(batches):
             spans: dict[int, list[tuple[int, int]]] = {}
             hit_items: dict[int, set[str]] = {}
-            for phrase, names in distinct:
-                if any(t not in lists for t in (phrase[0].item(), phrase[-1].item())):
-                    continue
+            term = np.searchsorted(terms, wanted)
+            there = (terms[np.minimum(term, len(terms) - 1)] == wanted) if len(terms) else np.zeros(len(wanted), bool)
+            total = np.concatenate([[0], np.cumsum(there[code])])
+            for p in np.flatnonzero(total[starts + lengths] - total[starts] == lengths).tolist():
+                place = slice(starts[p], starts[p] + lengths[p])
+                phrase = words[place]
+                lists = {w: places[firsts[t] : firsts[t + 1]] for w, t in zip(phrase.tolist(), term[code[place]].tolist(), strict=True)}
                 at = match_places(lists, phrase)
                 if len(at):
+                    names = {items[k] for k in owners[bounds[p] : bounds[p + 1]].tolist()}
                     for place, doc in zip(*_within(at, len(phrase), bases), strict=True):
                         spans.setdefault(int(doc), []).append((int(place), int(place) + len(phrase)))
                         hit_items.setdefault(int(doc), set()).update(names)
@@ -166,14 +186,19 @@ def _search(block):
     return run
 
 
-def _open_segments(batches: Iterator[pa.RecordBatch], wanted: np.ndarray):
-    """Documents, bases and the lists of the wanted terms, one segment at a time."""
+def _segment_rows(batches: Iterator[pa.RecordBatch]):
+    """The columns of the index, one segment at a time."""
     for batch in batches:
         for k in range(batch.num_rows):
-            ids, bases, terms, starts, places = (batch.column(c)[k].values.to_numpy() for c in ("doc_ids", "bases", "terms", "starts", "places"))
-            at = np.searchsorted(terms, wanted)
-            at = at[(at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == wanted)] if len(terms) else at[:0]
-            yield ids, bases, {int(terms[t]): places[starts[t] : starts[t + 1]] for t in at.tolist()}
+            yield tuple(batch.column(c)[k].values.to_numpy() for c in ("doc_ids", "bases", "terms", "starts", "places"))
+
+
+def _open_segments(batches: Iterator[pa.RecordBatch], wanted: np.ndarray):
+    """Documents, bases and the lists of the wanted terms, one segment at a time."""
+    for ids, bases, terms, starts, places in _segment_rows(batches):
+        at = np.searchsorted(terms, wanted)
+        at = at[(at < len(terms)) & (terms[np.minimum(at, len(terms) - 1)] == wanted)] if len(terms) else at[:0]
+        yield ids, bases, {int(terms[t]): places[starts[t] : starts[t + 1]] for t in at.tolist()}
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
-from farelens.llm import embedding_join, licenses, line_runs, ngram_join, passages
+from farelens.llm import embedding_join, licenses, line_runs, ngram_join, passages, phrase_index
 
 
 def fresh_words(seed):
@@ -206,3 +207,32 @@ def test_vectors_are_sent_once_for_a_part(spark, monkeypatch, tile):
     assert {k: c for k, (_, c) in got.items()} == dict(enumerate(part.tolist()))
     # Not once for each cell of each block.
     assert sent and max(sent) <= 400 * (1 if tile > 400 else 5)
+
+
+def test_phrase_index_has_small_row_groups(spark):
+    # Readers and writers hold a row group; each of these rows is a segment of 400,000 words.
+    text = "array_join(transform(sequence(1, 400000), x -> hex(x * 7919L + id)), ' ')"
+    docs = spark.range(24).repartition(1).selectExpr("id as doc_id", f"{text} as text")
+    index = phrase_index.build_index(docs)  # three in each of eight files
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    rows = [m.row_group(k).num_rows for m in groups for k in range(m.num_row_groups)]
+    assert sum(rows) == 24 and max(rows) <= 2
+    items = spark.createDataFrame([("a", " ".join(f"{x * 7919 + 3:x}" for x in range(200, 215))), ("b", "1EEF 3DDE"), ("c", "x y")], "item_id string, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"]) for r in phrase_index.decontaminate(docs, items).collect()}
+    assert got == {k: ((2, 1) if k == 0 else (15, 1) if k == 3 else (0, 0)) for k in range(24)}
+
+
+def test_phrases_take_little_room():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    items = [(str(k), rng.integers(-(2**62), 2**62, 100)) for k in range(2_000)]
+    items += [("again", items[5][1][:30]), ("short", items[6][1][:4])]
+    tracemalloc.start()
+    words, starts, lengths, owners, bounds = phrase_index._phrases(items)
+    used, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert most < 200 * len(words) and used < 100 * len(words)
+    assert len(starts) == 2_000 * 91 + 1 and np.diff(bounds).sum() == 2_000 * 91 + 21 + 1 and sorted(set(lengths.tolist())) == [4, 10]
+    shared = [{items[k][0] for k in owners[a:b].tolist()} for a, b in zip(bounds, bounds[1:], strict=False) if b - a > 1]
+    assert shared == [{"5", "again"}] * 21
